@@ -76,5 +76,16 @@ def write_table(
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    """Write a CSV table with a header line, quoted the way `read_csv` reads it."""
-    df.write.mode("overwrite").csv(path, sep=sep, header=True, quote='"', escape='"')
+    """Write a CSV table with a header line, in the form `read_csv` reads back unchanged.
+
+    Spark's writer trims blanks around values unless told otherwise.
+    """
+    df.write.mode("overwrite").csv(
+        path,
+        sep=sep,
+        header=True,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )

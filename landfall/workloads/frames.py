@@ -240,25 +240,20 @@ temperature as (
 
 def address_codes(spark: SparkSession) -> DataFrame:
     """A code map that lacks one code."""
-    return spark.createDataFrame(
-        [("F", "Filled"), ("O", "Open"), ("99", "All Other Codes")], "key string, value string"
-    )
+    return spark.sql(f"SELECT * FROM {_ADDRESS_VALUES} AS t(key, value)")
 
 
-ADDRESS_CODES = """
-address_desc(key, value) as (
-  values ('F', 'Filled'), ('O', 'Open'), ('99', 'All Other Codes'))"""
+_ADDRESS_VALUES = "VALUES ('F', 'Filled'), ('O', 'Open'), ('99', 'All Other Codes')"
+ADDRESS_CODES = f"address_desc(key, value) as ({_ADDRESS_VALUES})"
 
 
 def visa_codes(spark: SparkSession) -> DataFrame:
     """A code map with keys that look like numbers."""
-    return spark.createDataFrame(
-        [("1", "Business"), ("2", "Pleasure"), ("3", "Student")], "key string, value string"
-    )
+    return spark.sql(f"SELECT * FROM {_VISA_VALUES} AS t(key, value)")
 
 
-VISA_CODES = """
-visacode_desc(key, value) as (values ('1', 'Business'), ('2', 'Pleasure'), ('3', 'Student'))"""
+_VISA_VALUES = "VALUES ('1', 'Business'), ('2', 'Pleasure'), ('3', 'Student')"
+VISA_CODES = f"visacode_desc(key, value) as ({_VISA_VALUES})"
 
 
 def port_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
