@@ -20,7 +20,10 @@ def named(name: str) -> Column:
 
 
 def type_of(df: DataFrame, name: str) -> T.DataType:
-    """Data type of one column; works for columns and for plain names of `df`."""
+    """Data type of one column, found by Spark's rule that case does not matter."""
+    for field in df.schema:
+        if field.name == name:
+            return field.dataType
     return df.select(named(name)).schema[0].dataType
 
 

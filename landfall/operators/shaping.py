@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,10 @@ def align_to(df: DataFrame, contract: Sequence[str]) -> DataFrame:
     lacking = [name for name in contract if name.casefold() not in own]
     if lacking:
         raise ValueError(f"contract columns not found: {', '.join(lacking)}")
-    return df.select([named(own[name.casefold()]).alias(name) for name in contract])
+    if list(contract) == df.columns:
+        return df
+    kept = df.select([named(own[name.casefold()]) for name in contract])
+    return kept if kept.columns == list(contract) else kept.toDF(*contract)
 
 
 def union_extracts(
@@ -33,7 +37,11 @@ def union_extracts(
     if not frames:
         raise ValueError("no extracts to unite")
     contract = contract or frames[0].columns
-    return reduce(DataFrame.unionByName, [align_to(frame, contract) for frame in frames])
+    aligned = [align_to(frame, contract) for frame in frames]
+    while len(aligned) > 1:  # in pairs, so that no plan is analysed more often than needed
+        pairs = [aligned[i : i + 2] for i in range(0, len(aligned), 2)]
+        aligned = [reduce(DataFrame.unionByName, pair) for pair in pairs]
+    return aligned[0]
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -51,9 +59,8 @@ def drop_missing(df: DataFrame, subset: Sequence[str] | None = None) -> DataFram
 
     Same rows as `dropna`, but the null tests reach the Parquet scan.
     """
-    for name in subset or df.columns:
-        df = df.where(present(df, name))
-    return df
+    tests = [present(df, name) for name in subset or df.columns]
+    return df.where(reduce(and_, tests))
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str], strict: bool = False) -> DataFrame:

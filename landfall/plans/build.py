@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landfall.operators.quality import Check, QualityError, enforce, run_checks
+from landfall.operators.quality import (
+    Check,
+    QualityError,
+    check_unique,
+    enforce,
+    run_checks,
+)
 from landfall.plans.conform import (
     airport_checks,
     arrival_checks,
@@ -22,14 +28,17 @@ from landfall.plans.conform import (
 from landfall.schemas import (
     AIRPORT_CSV,
     DEMOGRAPHICS_CSV,
+    LAKE_KEYS,
     LAKE_PARTITIONS,
-    LAKE_SCHEMAS,
     TEMPERATURE_CSV,
 )
 from landfall.sinks.tables import write_table
 from landfall.sources.lake import open_lake, table_path
 from landfall.sources.readers import read_code_map, read_csv, read_extracts
 
+# A lazy table and the checks to count while it is written.
+Flow = tuple[DataFrame, list[Check]]
+
 _REPORT = (
     "table_name string, check_name string, target string, violations bigint, "
     "rows_checked bigint, passed boolean"
@@ -53,37 +62,44 @@ class LakeSources:
     code_map_pattern: str = "*.json"
 
 
-def _conformed(
-    spark: SparkSession, sources: LakeSources
-) -> dict[str, tuple[DataFrame, list[Check]]]:
-    """Every table of the lake as a lazy frame, with its checks."""
-    temperature = conform_temperature(
-        read_csv(spark, sources.temperature, TEMPERATURE_CSV),
-        country=sources.country,
-        from_day=sources.from_day,
-    )
+def _temperature(spark: SparkSession, sources: LakeSources) -> Flow:
+    raw = read_csv(spark, sources.temperature, TEMPERATURE_CSV)
+    return conform_temperature(raw, sources.country, sources.from_day), temperature_checks()
+
+
+def _airports(spark: SparkSession, sources: LakeSources) -> Flow:
     airports = conform_airports(read_csv(spark, sources.airports, AIRPORT_CSV))
-    demographics = conform_demographics(
-        read_csv(spark, sources.demographics, DEMOGRAPHICS_CSV, sep=";")
-    )
-    arrivals = conform_arrivals(
-        read_extracts(spark, list(sources.arrivals), sources.arrivals_format)
-    )
-    tables = {
-        "temperature": (temperature, temperature_checks()),
-        "airport_codes": (airports, airport_checks(airports)),
-        "demographics": (demographics, demographics_checks()),
-        "immigration": (arrivals, arrival_checks(arrivals)),
-    }
-    maps = {
-        "address_desc": sources.address_codes,
-        "airport_desc": sources.port_codes,
-        "visacode_desc": sources.visa_codes,
-    }
-    for table, path in maps.items():
-        codes = read_code_map(spark, path, sources.code_map_pattern)
-        tables[table] = (codes, code_map_checks(codes))
-    return tables
+    return airports, airport_checks(airports)
+
+
+def _demographics(spark: SparkSession, sources: LakeSources) -> Flow:
+    raw = read_csv(spark, sources.demographics, DEMOGRAPHICS_CSV, sep=";")
+    return conform_demographics(raw), demographics_checks()
+
+
+def _arrivals(spark: SparkSession, sources: LakeSources) -> Flow:
+    extracts = read_extracts(spark, list(sources.arrivals), sources.arrivals_format)
+    arrivals = conform_arrivals(extracts)
+    return arrivals, arrival_checks(arrivals)
+
+
+def _code_map(path_of: str) -> Callable[[SparkSession, LakeSources], Flow]:
+    def flow(spark: SparkSession, sources: LakeSources) -> Flow:
+        codes = read_code_map(spark, getattr(sources, path_of), sources.code_map_pattern)
+        return codes, code_map_checks(codes)
+
+    return flow
+
+
+_FLOWS: dict[str, Callable[[SparkSession, LakeSources], Flow]] = {
+    "temperature": _temperature,
+    "airport_codes": _airports,
+    "demographics": _demographics,
+    "immigration": _arrivals,
+    "address_desc": _code_map("address_codes"),
+    "airport_desc": _code_map("port_codes"),
+    "visacode_desc": _code_map("visa_codes"),
+}
 
 
 def build_lake(
@@ -102,10 +118,9 @@ def build_lake(
     `tables` limits the run, for sources that are refreshed at different times, and
     `mode="partitions"` replaces only the partitions that occur in the new data.
     """
-    flows = _conformed(spark, sources)
     report = []
-    for table in tables or flows:
-        df, checks = flows[table]
+    for table in tables or _FLOWS:
+        df, checks = _FLOWS[table](spark, sources)
         if strict:
             try:
                 enforce(run_checks(df, checks))
@@ -117,14 +132,20 @@ def build_lake(
             (table, name, target, violations, written.rows, violations == 0)
             for name, target, violations in written.checks
         ]
-        if mode == "full":
-            lost = written.rows - _stored_rows(spark, base, table)
-            report.append((table, "row_count", "*", abs(lost), written.rows, lost == 0))
+        report += _stored_checks(spark, base, table, written.rows if mode == "full" else None)
     return spark.createDataFrame(report, _REPORT)
 
 
-def _stored_rows(spark: SparkSession, base: str, table: str) -> int:
-    """Rows found on reading the table back; Parquet answers this from its footers."""
-    if table not in LAKE_SCHEMAS:
-        raise ValueError(f"unknown table {table!r}")
-    return open_lake(spark, base, [table], register=False)[table].count()
+def _stored_checks(
+    spark: SparkSession, base: str, table: str, rows_written: int | None
+) -> list[tuple]:
+    """What only the finished table can tell: its row count, which Parquet answers from
+    its footers, and whether the keys of a dimension are unique."""
+    stored = open_lake(spark, base, [table], register=False)[table]
+    found = []
+    if rows_written is not None:
+        lost = abs(rows_written - stored.count())
+        found.append((table, "row_count", "*", lost, rows_written, lost == 0))
+    if table in LAKE_KEYS:
+        found.append((table, *check_unique(stored, LAKE_KEYS[table]).first()))
+    return found

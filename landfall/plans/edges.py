@@ -50,7 +50,8 @@ def airport_temperature(
 def airport_demographics(
     airports: DataFrame, demographics: DataFrame, match_state: bool = True
 ) -> DataFrame:
-    """Airports with the demographics of their municipality.
+    """Airports (or any rows that carry an airport's columns) with the demographics of
+    their municipality.
 
     With `match_state`, 'US-OR' airports meet only cities of state 'OR'; without it, every
     city of that name in any state gives a row.
@@ -72,15 +73,15 @@ def snowflake(lake: Mapping[str, DataFrame], match_state: bool = True) -> DataFr
     """Every arrival with decoded codes, airport, city demographics and the usual
     temperature of the arrival month in that city.
 
-    Airports and demographics are joined to each other first: both are small, so the fact
-    table is joined once for the two of them.
+    Each dimension is joined straight to the fact table. Spark knows the size of a stored
+    table and broadcasts it when small; the size of two dimensions joined to each other it
+    would guess as their product, and shuffle the facts for it.
     """
-    places = airport_demographics(lake["airport_codes"], lake["demographics"], match_state)
     decoded = decode_arrivals(lake["immigration"], lake)
+    located = enrich_airport(decoded, lake["airport_codes"])
+    peopled = airport_demographics(located, lake["demographics"], match_state)
     monthly = temperature_by(lake["temperature"], "month")
-    return left_lookup(
-        enrich_airport(decoded, places), monthly, [("municipality", "city"), ("month", "month")]
-    )
+    return left_lookup(peopled, monthly, [("municipality", "city"), ("month", "month")])
 
 
 def decode_arrivals(arrivals: DataFrame, lake: Mapping[str, DataFrame]) -> DataFrame:

@@ -45,12 +45,17 @@ def airport_city_profile(lake: Mapping[str, DataFrame], match_state: bool = True
             F.round(F.avg("stay_duration"), 6).alias("avg_stay"),
         )
     )
-    places = airport_demographics(lake["airport_codes"], lake["demographics"], match_state)
-    columns = ["airport_code", "airport_name", "municipality", "iso_region", "population"]
-    return left_lookup(
-        per_port,
-        places.select(*columns, "median_age", "foreign_born"),
-        [("airport_code", "airport_code")],
+    located = left_lookup(per_port, lake["airport_codes"], [("airport_code", "airport_code")])
+    return airport_demographics(located, lake["demographics"], match_state).select(
+        "airport_code",
+        "arrivals",
+        "avg_stay",
+        "airport_name",
+        "municipality",
+        "iso_region",
+        "population",
+        "median_age",
+        "foreign_born",
     )
 
 

@@ -204,3 +204,12 @@ LAKE_PARTITIONS = {
     "airport_codes": ("iso_country",),
     "demographics": ("state_code",),
 }
+
+# What identifies a row of a dimension; lookups repeat facts where it does not.
+LAKE_KEYS = {
+    "airport_codes": ("airport_code",),
+    "demographics": ("city", "state_code"),
+    "address_desc": ("key",),
+    "airport_desc": ("key",),
+    "visacode_desc": ("key",),
+}

@@ -168,22 +168,17 @@ from orders left join customer on o_custkey = c_custkey
 left join nation on c_nationkey = n_nationkey
 left join region on n_regionkey = r_regionkey group by 1, 2""")
 def snowflake_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arrivals per region and month over a chain of dimensions.
-
-    The dimension chain is joined first, so the fact rows meet it once.
-    """
-    nations = lookups.left_lookup(
-        load(spark, sf_dir, "nation"), load(spark, sf_dir, "region"), [("n_regionkey", "r_regionkey")]
-    ).select("n_nationkey", "r_name")
-    customers = lookups.left_lookup(
-        load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
-        nations,
-        [("c_nationkey", "n_nationkey")],
-    )
+    """Arrivals per region and month over a chain of dimensions."""
     orders = load(spark, sf_dir, "orders").select(
         "o_custkey", F.month("o_orderdate").alias("month")
     )
+    customers = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     located = lookups.left_lookup(orders, customers, [("o_custkey", "c_custkey")])
+    for table, left, right in (
+        ("nation", "c_nationkey", "n_nationkey"),
+        ("region", "n_regionkey", "r_regionkey"),
+    ):
+        located = lookups.left_lookup(located, load(spark, sf_dir, table), [(left, right)])
     return count_by(located, "r_name", "month", out="arrivals")
 
 

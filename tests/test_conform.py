@@ -173,6 +173,23 @@ def test_refresh_of_one_table_and_one_month(spark, raw_paths, tmp_path):
     assert rows(fact.groupBy("month").count()) == [(1, 6), (6, 1)]
 
 
+def test_repeated_dimension_keys_are_reported(spark, raw_paths, tmp_path):
+    again = raw_data.AIRPORT_CSV + raw_data.AIRPORT_CSV.splitlines()[1] + "\n"
+    path = tmp_path / "again.csv"
+    path.write_text(again)
+    sources = LakeSources(**{**raw_paths, "airports": str(path)})
+    report = build_lake(spark, sources, str(tmp_path / "lake"), tables=["airport_codes"])
+    unique = report.where("check_name = 'unique'").first()
+    assert (unique.target, unique.violations, unique.rows_checked) == ("airport_code", 1, 7)
+
+
+def test_a_run_reads_only_the_sources_it_needs(spark, raw_paths, tmp_path):
+    nowhere = {name: str(tmp_path / "nowhere") for name in raw_paths if name != "visa_codes"}
+    sources = LakeSources(**{**nowhere, "visa_codes": raw_paths["visa_codes"]})
+    report = build_lake(spark, sources, str(tmp_path / "lake"), tables=["visacode_desc"])
+    assert report.where("passed").count() == report.count() == 5
+
+
 def test_strict_run_stops_before_it_writes(spark, raw_paths, tmp_path):
     base = tmp_path / "lake"
     with pytest.raises(QualityError, match="demographics: rule"):

@@ -172,6 +172,15 @@ def test_snowflake_keeps_every_arrival_once(lake):
     assert unknown.is_placeholder and unknown.visa_name is None and unknown.airport_name is None
 
 
+def test_snowflake_moves_no_fact_rows_while_dimensions_are_small(lake):
+    plan = plan_of(snowflake(lake))
+    assert "SortMergeJoin" not in plan
+    facts = plan.index("immigration")
+    exchanges = [i for i in range(len(plan)) if plan.startswith("Exchange hashpartitioning", i)]
+    # The only shuffle averages the temperatures, which are printed after the facts.
+    assert len(exchanges) == 1 and exchanges[0] > facts
+
+
 def test_questions(lake, sources, spark):
     assert [tuple(r) for r in arrivals_by_month(lake["immigration"]).collect()] == [(2016, 1, 6), (2016, 6, 1)]
     ports = [tuple(r) for r in top_ports(lake["immigration"], lake["airport_desc"], 2).collect()]
