@@ -39,6 +39,8 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--base", required=True, help="where the lake is written")
     parser.add_argument("--country", default="United States")
     parser.add_argument("--from-day", default="2000-01-01")
+    parser.add_argument("--by-year", action="store_true", help="partition by year, then month")
+    parser.add_argument("--keep-arrival-date", action="store_true")
     parser.add_argument("--tables", nargs="+", choices=list(LAKE_SCHEMAS))
     parser.add_argument("--mode", choices=("full", "partitions"), default="full")
     parser.add_argument("--strict", action="store_true", help="stop at the first failed check")
@@ -61,6 +63,8 @@ def sources(options: argparse.Namespace) -> LakeSources:
         arrivals_format=options.arrivals_format,
         country=options.country,
         from_day=options.from_day,
+        arrival_partitions=("year", "month") if options.by_year else ("month",),
+        keep_arrival_date=options.keep_arrival_date,
     )
 
 

@@ -47,14 +47,18 @@ def stay_stats(
 ) -> DataFrame:
     """Mean, exact median, extremes and count of a duration per key.
 
-    The exact median keeps one counter per distinct value and group, not one entry per
-    row. Durations are whole days, so that map is bounded by the calendar span.
+    Rows are first counted per key and duration, which Spark combines map-side. The exact
+    median then sees one weighted row per distinct duration, not one per arrival; durations
+    are whole days, so their number per key is bounded by the calendar.
     """
-    days = named(duration)
-    return df.groupBy(*[named(key) for key in keys]).agg(
-        F.round(F.avg(days), 6).alias("avg_days"),
-        F.percentile(days, F.lit(0.5)).alias("median_days"),
+    counted = count_by(df, *keys, duration, out="__rows")
+    days, rows = named(duration), F.col("__rows")
+    present = F.coalesce(F.sum(F.when(days.isNotNull(), rows)), F.lit(0))
+    mean = F.try_divide(F.sum(days * rows), present)
+    return counted.groupBy(*[named(key) for key in keys]).agg(
+        F.round(mean, 6).alias("avg_days"),
+        F.percentile(days, F.lit(0.5), rows).alias("median_days"),
         F.min(days).alias("min_days"),
         F.max(days).alias("max_days"),
-        F.count(days).alias("n"),
+        present.alias("n"),
     )

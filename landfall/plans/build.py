@@ -47,7 +47,11 @@ _REPORT = (
 
 @dataclass(frozen=True)
 class LakeSources:
-    """Where the raw data lies. All paths are Hadoop URIs."""
+    """Where the raw data lies, as Hadoop URIs, and how to take it.
+
+    Extracts of several years go with `arrival_partitions=("year", "month")`. Questions at
+    day grain need `keep_arrival_date`.
+    """
 
     arrivals: Sequence[str]
     temperature: str
@@ -60,6 +64,8 @@ class LakeSources:
     country: str = "United States"
     from_day: str = "2000-01-01"
     code_map_pattern: str = "*.json"
+    arrival_partitions: Sequence[str] = LAKE_PARTITIONS["immigration"]
+    keep_arrival_date: bool = False
 
 
 def _temperature(spark: SparkSession, sources: LakeSources) -> Flow:
@@ -79,7 +85,7 @@ def _demographics(spark: SparkSession, sources: LakeSources) -> Flow:
 
 def _arrivals(spark: SparkSession, sources: LakeSources) -> Flow:
     extracts = read_extracts(spark, list(sources.arrivals), sources.arrivals_format)
-    arrivals = conform_arrivals(extracts)
+    arrivals = conform_arrivals(extracts, sources.keep_arrival_date)
     return arrivals, arrival_checks(arrivals)
 
 
@@ -127,7 +133,10 @@ def build_lake(
             except QualityError as failed:
                 raise QualityError(f"{table}: {failed}") from failed
         path = table_path(base, table)
-        written = write_table(df, path, LAKE_PARTITIONS.get(table, ()), mode, checks=checks)
+        partition_by = LAKE_PARTITIONS.get(table, ())
+        if table == "immigration":
+            partition_by = tuple(sources.arrival_partitions)
+        written = write_table(df, path, partition_by, mode, checks=checks)
         report += [
             (table, name, target, violations, written.rows, violations == 0)
             for name, target, violations in written.checks

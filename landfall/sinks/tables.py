@@ -49,7 +49,8 @@ def write_table(
     `mode="full"` replaces the table; `mode="partitions"` replaces only the partitions
     that occur in `df`. `compact` keeps the number of files small (see `_layout`); turn
     it off to save the shuffle. Row count and checks are taken in the write's own last
-    stage, where Spark counts every finished task once, so they cost no second pass.
+    stage, where Spark counts every finished task once, so they cost no second pass. Rules
+    see NaN as Spark sorts it, above every number; `run_checks` treats it as missing.
     """
     if mode not in _MODES:
         raise ValueError(f"unknown mode {mode!r}; use one of {sorted(_MODES)}")

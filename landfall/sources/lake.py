@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from landfall.schemas import LAKE_SCHEMAS
 
@@ -19,15 +20,19 @@ def open_lake(
     base: str,
     tables: Iterable[str] | None = None,
     register: bool = True,
+    arrival_date: bool = False,
 ) -> dict[str, DataFrame]:
     """The lake's tables by name, also registered as temporary views for `spark.sql`.
 
     The fixed schemas are used, so no file footer is read to infer types, and partition
-    values keep their type ('1234' stays a city, month stays an integer).
+    values keep their type ('1234' stays a city, month stays an integer). `arrival_date`
+    adds that column to the fact table of a lake that was built to keep it.
     """
     opened = {}
     for table in tables or LAKE_SCHEMAS:
         schema = LAKE_SCHEMAS[table]
+        if arrival_date and table == "immigration":
+            schema = T.StructType([*schema, T.StructField("arrival_date", T.DateType())])
         opened[table] = spark.read.schema(schema).parquet(table_path(base, table))
         if register:
             opened[table].createOrReplaceTempView(table)

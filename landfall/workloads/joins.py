@@ -16,17 +16,20 @@ _PLACEHOLDER = (
 )
 
 
-def lake(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The lake's tables derived from the given ones."""
-    return {
-        "immigration": frames.arrivals(spark, sf_dir),
-        "temperature": frames.temperature(spark, sf_dir),
-        "airport_codes": conform.conform_airports(frames.raw_airports(spark, sf_dir)),
-        "demographics": frames.demographics(spark, sf_dir),
-        "address_desc": frames.address_codes(spark),
-        "airport_desc": frames.port_codes(spark, sf_dir),
-        "visacode_desc": frames.visa_codes(spark),
-    }
+_LAKE = {
+    "immigration": frames.arrivals,
+    "temperature": frames.temperature,
+    "airport_codes": lambda spark, sf: conform.conform_airports(frames.raw_airports(spark, sf)),
+    "demographics": frames.demographics,
+    "address_desc": lambda spark, sf: frames.address_codes(spark),
+    "airport_desc": frames.port_codes,
+    "visacode_desc": lambda spark, sf: frames.visa_codes(spark),
+}
+
+
+def lake(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """Tables of the lake derived from the given ones; all of them by default."""
+    return {name: _LAKE[name](spark, sf_dir) for name in names or _LAKE}
 
 
 @query("""
@@ -69,7 +72,7 @@ select arrival_id, arrivals.airport_code, airport_name, municipality, iso_region
 from arrivals left join airports using (airport_code)""")
 def enrich_airport(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrivals with their airport."""
-    tables = lake(spark, sf_dir)
+    tables = lake(spark, sf_dir, "immigration", "airport_codes")
     enriched = edges.enrich_airport(tables["immigration"], tables["airport_codes"])
     return enriched.select(
         "arrival_id", "airport_code", "airport_name", "municipality", "iso_region"
@@ -85,7 +88,7 @@ select airport_code, municipality, month, avg_temperature, readings
 from airports left join monthly on municipality = city""")
 def airport_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Airports with the monthly temperature of their city."""
-    tables = lake(spark, sf_dir)
+    tables = lake(spark, sf_dir, "airport_codes", "temperature")
     joined = edges.airport_temperature(tables["airport_codes"], tables["temperature"], "month")
     return joined.select("airport_code", "municipality", "month", "avg_temperature", "readings")
 
@@ -98,7 +101,7 @@ from airports left join demographics
  and case when iso_country = 'US' then substring(iso_region, 4) end = state_code""")
 def airport_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Airports with the demographics of their city, matched on the state too."""
-    tables = lake(spark, sf_dir)
+    tables = lake(spark, sf_dir, "airport_codes", "demographics")
     joined = edges.airport_demographics(tables["airport_codes"], tables["demographics"])
     return joined.select(
         "airport_code", "municipality", "iso_region", "population", "median_age", "foreign_born"
@@ -111,7 +114,7 @@ select airport_code, municipality, state_code, population
 from airports left join demographics on municipality = city""")
 def airport_demographics_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same on the city alone: one row for every state that has such a city."""
-    tables = lake(spark, sf_dir)
+    tables = lake(spark, sf_dir, "airport_codes", "demographics")
     joined = edges.airport_demographics(
         tables["airport_codes"], tables["demographics"], match_state=False
     )
@@ -126,7 +129,7 @@ select city, state_code, population, avg_temperature, readings
 from demographics left join overall using (city)""")
 def demographics_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cities with their mean temperature."""
-    tables = lake(spark, sf_dir)
+    tables = lake(spark, sf_dir, "demographics", "temperature")
     joined = edges.demographics_temperature(tables["demographics"], tables["temperature"])
     return joined.select("city", "state_code", "population", "avg_temperature", "readings")
 

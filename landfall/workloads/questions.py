@@ -91,7 +91,9 @@ left join demographics on municipality = city
   and case when iso_country = 'US' then substring(iso_region, 4) end = state_code""")
 def airport_city_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Airports of arrival and their cities."""
-    return questions.airport_city_profile(lake(spark, sf_dir))
+    return questions.airport_city_profile(lake(
+        spark, sf_dir, "immigration", "airport_codes", "demographics"
+    ))
 
 
 _PEAKS = """
@@ -111,7 +113,9 @@ select peaks.city, peaks.period as month, arrivals, avg_temperature, readings
 from peaks left join weather on peaks.city = weather.city and peaks.period = weather.period""")
 def weather_at_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather in the months with most arrivals, per city."""
-    tables = lake(spark, sf_dir)
+    tables = lake(
+        spark, sf_dir, "immigration", "airport_codes", "temperature"
+    )
     return questions.weather_at_peaks(
         tables["immigration"].drop("arrival_date"),
         tables["airport_codes"],
@@ -128,7 +132,9 @@ select peaks.city, peaks.period as day_of_month, arrivals, avg_temperature, read
 from peaks left join weather on peaks.city = weather.city and peaks.period = weather.period""")
 def weather_at_peak_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same per day of the month."""
-    tables = lake(spark, sf_dir)
+    tables = lake(
+        spark, sf_dir, "immigration", "airport_codes", "temperature"
+    )
     return questions.weather_at_peaks(
         tables["immigration"],
         tables["airport_codes"],
@@ -164,5 +170,7 @@ left join airport_desc p on airport_code = p.key
 left join visacode_desc v on visacode::bigint::varchar = v.key""")
 def decoded_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrivals with the texts of their codes."""
-    decoded = questions.decoded_arrivals(lake(spark, sf_dir))
+    decoded = questions.decoded_arrivals(lake(
+        spark, sf_dir, "immigration", "address_desc", "airport_desc", "visacode_desc"
+    ))
     return decoded.select("arrival_id", "address_name", "port_name", "visa_name")

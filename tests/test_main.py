@@ -52,6 +52,14 @@ def test_some_tables_only(spark, arguments, tmp_path):
     assert found == ["airport_codes", "visacode_desc"]
 
 
+def test_several_years_and_days(spark, arguments, tmp_path):
+    main([*arguments, "--tables", "immigration", "--by-year", "--keep-arrival-date"])
+    assert (tmp_path / "lake" / "immigration" / "year=2016" / "month=6").is_dir()
+    fact = open_lake(spark, arguments[-1], ["immigration"], False, arrival_date=True)["immigration"]
+    assert str(fact.where("month = 6").first().arrival_date) == "2016-06-05"
+    assert "arrival_date" not in open_lake(spark, arguments[-1], ["immigration"])["immigration"].columns
+
+
 def test_listed_extracts_are_taken_as_they_are(arguments):
     options = parse([*arguments, "--arrivals", "a", "b"])
     assert sources(options).arrivals == ["a", "b"]

@@ -92,6 +92,14 @@ def test_csv_malformed_number_raises(spark, tmp_path):
         read_csv(spark, path, schema).collect()
 
 
+@pytest.mark.parametrize("line", ["2000-01-01", "2000-01-01,1,2"])
+def test_csv_line_with_the_wrong_number_of_values_raises(spark, tmp_path, line):
+    path = file_with(tmp_path, f"dt,v\n1999-01-01,1\n{line}\n")
+    schema = T.StructType([T.StructField("dt", T.StringType()), T.StructField("v", T.DoubleType())])
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        read_csv(spark, path, schema).collect()
+
+
 def test_csv_files_with_different_headers_raise(spark, tmp_path):
     folder = tmp_path / "many"
     folder.mkdir()
