@@ -48,11 +48,19 @@ def scratch(spark: SparkSession, label: str) -> str:
     """A fresh folder for tables a query writes and reads back.
 
     It lies in the shared folder the cluster names in `spark.checkpoint.dir`. Only a
-    local session without that setting may use the machine's own temporary folder.
+    local session without that setting may use the machine's own temporary folder. The
+    folder is removed when the session's JVM ends, since a lazy result may need it until
+    then.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="landfall-")
-    return f"{base.rstrip('/')}/landfall/{label}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/landfall/{label}-{uuid.uuid4().hex}"
+    if hasattr(spark, "_jvm"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{folder}/data"
