@@ -1,6 +1,7 @@
 """General table operators: DataFrame in, lazy DataFrame out."""
 
 from landfall.operators.aggregates import average_by, count_by, stay_stats, top_k
+from landfall.operators.distinct import distinct_rows, distinct_rows_few_copies
 from landfall.operators.lookups import decode, key_coverage, left_lookup, unmatched_keys
 from landfall.operators.profiling import StepCounter, null_profile, profile, step_counts
 from landfall.operators.quality import (
@@ -24,7 +25,6 @@ from landfall.operators.quality import (
 from landfall.operators.shaping import (
     align_to,
     cast_columns,
-    distinct_rows,
     drop_missing,
     rename,
     since,
@@ -50,6 +50,7 @@ __all__ = [
     "count_by",
     "decode",
     "distinct_rows",
+    "distinct_rows_few_copies",
     "drop_missing",
     "duplicate_keys",
     "enforce",

@@ -44,16 +44,6 @@ def union_extracts(
     return aligned[0]
 
 
-def distinct_rows(df: DataFrame) -> DataFrame:
-    """One copy of every row, compared over all columns.
-
-    Spark drops copies inside each map task before the shuffle, so one row repeated
-    a billion times costs one row per task. Filters written after this call are moved
-    below it by Catalyst, because all columns are grouping keys.
-    """
-    return df.dropDuplicates()
-
-
 def drop_missing(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Rows that hold a value in every named column (in all columns by default).
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from landfall.operators.distinct import distinct_rows, distinct_rows_few_copies
 from landfall.operators.quality import (
     Check,
     QualityError,
@@ -50,7 +51,8 @@ class LakeSources:
     """Where the raw data lies, as Hadoop URIs, and how to take it.
 
     Extracts of several years go with `arrival_partitions=("year", "month")`. Questions at
-    day grain need `keep_arrival_date`.
+    day grain need `keep_arrival_date`. `few_copies` picks the way copies are found, not
+    the result (see `distinct_rows_few_copies`).
     """
 
     arrivals: Sequence[str]
@@ -66,6 +68,7 @@ class LakeSources:
     code_map_pattern: str = "*.json"
     arrival_partitions: Sequence[str] = LAKE_PARTITIONS["immigration"]
     keep_arrival_date: bool = False
+    few_copies: bool = True
 
 
 def _temperature(spark: SparkSession, sources: LakeSources) -> Flow:
@@ -85,7 +88,8 @@ def _demographics(spark: SparkSession, sources: LakeSources) -> Flow:
 
 def _arrivals(spark: SparkSession, sources: LakeSources) -> Flow:
     extracts = read_extracts(spark, list(sources.arrivals), sources.arrivals_format)
-    arrivals = conform_arrivals(extracts, sources.keep_arrival_date)
+    distinct = distinct_rows_few_copies if sources.few_copies else distinct_rows
+    arrivals = conform_arrivals(extracts, sources.keep_arrival_date, distinct=distinct)
     return arrivals, arrival_checks(arrivals)
 
 

@@ -1,7 +1,8 @@
 """From raw tables to lake tables. The order of the steps is part of the meaning:
 
 * arrivals are de-duplicated over all raw columns, before the projection, since two
-  travellers may agree in every column that is kept;
+  travellers may agree in every column that is kept (filters on single rows commute
+  with that);
 * demographics are de-duplicated after the projection, because the rows that remain
   without the race columns are repeats by design.
 """
@@ -9,17 +10,18 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.functions.columns import day_number_to_date, named, type_of
+from landfall.operators.distinct import distinct_rows
 from landfall.operators.profiling import StepCounter
 from landfall.operators.quality import Check, at_least_two, no_nulls, not_empty, rules
 from landfall.operators.shaping import (
     cast_columns,
-    distinct_rows,
     drop_missing,
     rename,
     since,
@@ -45,20 +47,23 @@ def conform_arrivals(
     extracts: DataFrame,
     keep_arrival_date: bool = False,
     counter: StepCounter | None = None,
+    distinct: Callable[[DataFrame], DataFrame] = distinct_rows,
 ) -> DataFrame:
     """The fact table: people who came by plane, with the length of their stay.
 
-    Catalyst moves both filters below the de-duplication and into the scan. The wide
-    shuffle of the de-duplication is inherent: every raw column is part of the key.
+    Both filters look at one row at a time, so they may run before the de-duplication and
+    reach the scan; with a `counter` the steps keep their order. Every raw column is part
+    of the key, so plain de-duplication shuffles whole raw rows; pass
+    `distinct=distinct_rows_few_copies` where copies are rare.
     Year and month become integers, so that partitions read `month=1`, not `month=1.0`.
     """
 
-    def mark(step: str, df: DataFrame) -> DataFrame:
-        return counter.mark(step, df) if counter else df
-
-    distinct = mark("distinct", distinct_rows(mark("read", extracts)))
-    by_air = mark("by_air", distinct.where(F.col("i94mode") == ARRIVED_BY_AIR))
-    complete = mark("complete", drop_missing(by_air, ARRIVAL_REQUIRED))
+    if counter is None:
+        complete = distinct(_complete(_by_air(extracts)))
+    else:
+        once = counter.mark("distinct", distinct(counter.mark("read", extracts)))
+        by_air = counter.mark("by_air", _by_air(once))
+        complete = counter.mark("complete", _complete(by_air))
     renamed = rename(complete.select(*ARRIVAL_COLUMNS), ARRIVAL_RENAMES)
     timed = with_duration(renamed, "arrdate", "depdate", "stay_duration")
     if keep_arrival_date:
@@ -67,6 +72,14 @@ def conform_arrivals(
     return cast_columns(kept, {"year": "int", "month": "int"})
 
 
+def _by_air(df: DataFrame) -> DataFrame:
+    return df.where(F.col("i94mode") == ARRIVED_BY_AIR)
+
+
+def _complete(df: DataFrame) -> DataFrame:
+    return drop_missing(df, ARRIVAL_REQUIRED)
+
+
 def _arrival_date(df: DataFrame):
     if isinstance(type_of(df, "arrdate"), T.NumericType):
         return day_number_to_date(named("arrdate"))

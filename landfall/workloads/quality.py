@@ -52,7 +52,10 @@ def check_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     _check_rows(
-        ["select 'not_empty', '*', case when count(*) = 0 then 1 else 0 end, least(count(*), 1) from orders"]
+        [
+            """select 'not_empty', '*', case when count(*) = 0 then 1 else 0 end,
+                      least(count(*), 1) from orders"""
+        ]
     )
 )
 def check_not_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,8 +113,10 @@ def check_min_distinct_five(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     _check_rows(
         [
-            "select 'not_null', 'o_orderkey', count(*) filter (o_orderkey is null), count(*) from orders",
-            "select 'not_null', 'p', count(*) filter (o_orderpriority = '5-LOW'), count(*) from orders",
+            """select 'not_null', 'o_orderkey', count(*) filter (o_orderkey is null), count(*)
+               from orders""",
+            """select 'not_null', 'p', count(*) filter (o_orderpriority = '5-LOW'), count(*)
+               from orders""",
         ]
     )
 )
@@ -187,7 +192,8 @@ def check_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 select 'o_orderkey' as column_name, count(*) filter (o_orderkey is null) as null_count from orders
 union all select 'p', count(*) filter (o_orderpriority = '5-LOW') from orders
 union all select 's', count(*) filter (o_orderstatus = 'F') from orders
-union all select 'v', count(*) filter (o_totalprice < 100000 or o_totalprice > 400000) from orders""")
+union all select 'v', count(*) filter (o_totalprice < 100000 or o_totalprice > 400000)
+  from orders""")
 def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing values per column; NaN counts."""
     price = F.col("o_totalprice")

@@ -39,7 +39,9 @@ def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.top_k(load(spark, sf_dir, "orders"), ["o_custkey"], 10)
 
 
-@query(f"with {frames.ARRIVALS} select year, month, count(*) as arrivals from arrivals group by 1, 2")
+@query(f"""
+with {frames.ARRIVALS}
+select year, month, count(*) as arrivals from arrivals group by 1, 2""")
 def arrivals_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which months are heaviest."""
     return questions.arrivals_by_month(frames.arrivals(spark, sf_dir))
@@ -151,9 +153,10 @@ w as (select day(ts)::int as day_of_month, round(avg(value), 6) as avg_value fro
 select d.day_of_month, arrivals, avg_value from d left join w using (day_of_month)""")
 def weather_at_peaks_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The busiest days of the month with the mean reading of that day, without cities."""
-    orders = load(spark, sf_dir, "orders")
-    days = orders.select(period_columns(F.col("o_orderdate"), "day_of_month")["day_of_month"].alias("day_of_month"))
-    peaks = aggregates.top_k(days, ["day_of_month"], 5, out="arrivals")
+    orders = load(spark, sf_dir, "orders").withColumns(
+        period_columns(F.col("o_orderdate"), "day_of_month")
+    )
+    peaks = aggregates.top_k(orders, ["day_of_month"], 5, out="arrivals")
     events = load(spark, sf_dir, "events").withColumns(
         period_columns(F.col("ts"), "day_of_month")
     )

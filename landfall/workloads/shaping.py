@@ -10,6 +10,7 @@ from landfall.operators import (
     align_to,
     cast_columns,
     distinct_rows,
+    distinct_rows_few_copies,
     drop_missing,
     rename,
     since,
@@ -73,6 +74,14 @@ def distinct_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_rows(union_extracts(_orders_with_drift(spark, sf_dir)))
 
 
+@query("""
+select distinct * from (select * from orders
+  union all select * from orders where month(o_orderdate) = 1)""")
+def distinct_few_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, comparing only rows that share a fingerprint."""
+    return distinct_rows_few_copies(union_extracts(_orders_with_drift(spark, sf_dir)))
+
+
 @query("select distinct c_nationkey, c_mktsegment from customer")
 def distinct_after_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drop columns first, then copies."""
