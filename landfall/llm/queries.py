@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.llm.common import documents, stored
+from landfall.llm.mixing import mix
 from landfall.llm.packing import pack
+from landfall.llm.quality import BASE_RULES, MORE_RULES, cascade, measured, rule_order
 from landfall.llm.registry import query
 from landfall.llm.token_scan import separator_scan, token_streams
 
@@ -29,3 +31,23 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(names, ["stream", "number"]).select(
         "doc_id", "n_tokens", "stream", "number", "terminated"
     )
+
+
+@query()
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with what the mix takes of each."""
+    return mix(documents(spark, sf_dir)).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies", "extra"
+    )
+
+
+@query()
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict for every document."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    order = rule_order(docs, [*BASE_RULES, *MORE_RULES])
+    base = F.expr(" OR ".join(f"({rule.rejects})" for rule in BASE_RULES))
+    return cascade(measured(docs), order).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        base.alias("base_failed"), F.col("failed_rule").isNull().alias("kept"), "failed_rule",
+    )
