@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +50,12 @@ def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     folder = f"{shared_folder(df.sparkSession, label)}/data"
     df.write.option("compression", compression).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once per row, however often `use` names it.
+
+    A plain column that a filter above it names is written into the filter by the optimizer;
+    inside a lambda that would compute it again for each element.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import stored, text_of
+from landfall.llm.common import bound, stored, text_of
 
 SPACES = " \t\n\x0b\x0c\r"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -54,53 +54,76 @@ MORE_RULES = (
 )
 
 
+def _repeat_words(hashes: Column, window: int) -> Column:
+    """Words that lie in a window found twice or more, given the hashes of all words."""
+
+    def starts_of(ordered: Column) -> Column:
+        def shared(x: Column, k: Column) -> Column:
+            before, after = F.get(ordered, k - 1), F.get(ordered, k + 1)
+            return F.when((before["h"] == x["h"]) | (after["h"] == x["h"]), x["i"])
+
+        return F.sort_array(F.array_compact(F.transform(ordered, shared)))
+
+    def covered(windows: Column) -> Column:
+        ordered = F.sort_array(
+            F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+        )
+        return F.aggregate(
+            bound(ordered, starts_of),
+            F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
+            lambda a, i: F.struct(
+                (a["n"] + i + window - F.greatest(a["end"], i)).alias("n"),
+                (i + window).alias("end"),
+            ),
+            lambda a: a["n"],
+        )
+
+    windows = F.transform(
+        F.sequence(F.lit(0), F.size(hashes) - window),
+        lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(window)]),
+    )
+    differ = F.size(hashes) <= window
+    return F.when(differ, F.lit(0)).otherwise(
+        bound(
+            windows,
+            lambda w: F.when(F.size(F.array_distinct(w)) < F.size(w), covered(w)).otherwise(0),
+        )
+    )
+
+
 def measured(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Add the measures. Only those that a query uses are computed."""
     text = text_of()
     trimmed = F.btrim(text, F.lit(SPACES))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    with_words = docs.withColumns({"qr_words": words, "qr_lines": lines})
-    hashed = with_words.withColumn("qr_hash", F.transform("qr_words", lambda w: F.xxhash64(w)))
-    windows = F.when(
-        F.size("qr_hash") > window,
-        F.transform(
-            F.sequence(F.lit(1), F.size("qr_hash") - (window - 1)),
-            lambda i: F.xxhash64(F.slice("qr_hash", i, window)),
+
+    def long(value: Column, name: str) -> Column:
+        return value.cast("long").alias(name)
+
+    of_words = bound(
+        words,
+        lambda w: bound(
+            F.transform(w, lambda x: F.xxhash64(x)),
+            lambda h: F.struct(
+                long(F.size(w), "n_words"),
+                long(F.char_length(F.array_join(w, "")), "word_chars"),
+                long(F.size(F.array_distinct(h)), "n_distinct_words"),
+                long(_repeat_words(h, window), "n_repeat_words"),
+            ),
         ),
     )
-    hashed = hashed.withColumn("qr_windows", windows)
-    repeats = F.size(F.array_distinct("qr_windows")) < F.size("qr_windows")
-    ordered = F.when(
-        repeats,
-        F.sort_array(F.transform("qr_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
-    )
-    hashed = hashed.withColumn("qr_ordered", ordered)
-
-    def shared(x: Column, k: Column) -> Column:
-        after, before = F.get("qr_ordered", k + 1), F.get("qr_ordered", k - 1)
-        return F.when((after["h"] == x["h"]) | (before["h"] == x["h"]), x["i"])
-
-    starts = F.sort_array(F.array_compact(F.transform("qr_ordered", shared)))
-    covered = F.aggregate(
-        starts,
-        F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
-        lambda a, i: F.struct(
-            (a["n"] + i + window - F.greatest(a["end"], i)).alias("n"), (i + window).alias("end")
+    of_lines = bound(
+        lines,
+        lambda x: F.struct(
+            long(F.size(x), "n_lines"), long(F.size(x) - F.size(F.array_distinct(x)), "n_dup_lines")
         ),
-        lambda a: a["n"],
     )
-    return hashed.withColumns(
-        {
-            "n_words": F.size("qr_words").cast("long"),
-            "n_distinct_words": F.size(F.array_distinct("qr_hash")).cast("long"),
-            "word_chars": F.char_length(F.array_join("qr_words", "")).cast("long"),
-            "n_symbols": F.regexp_count(text, F.lit(SYMBOL)).cast("long"),
-            "n_lines": F.size("qr_lines").cast("long"),
-            "n_dup_lines": (F.size("qr_lines") - F.size(F.array_distinct("qr_lines"))).cast("long"),
-            "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
-        }
-    ).drop("qr_words", "qr_lines", "qr_hash", "qr_windows", "qr_ordered")
+    both = docs.withColumns({"qr_words": of_words, "qr_lines": of_lines})
+    fields = {f"{c}": F.col(f"qr_words.{c}") for c in ("n_words", "word_chars", "n_distinct_words", "n_repeat_words")}
+    fields |= {c: F.col(f"qr_lines.{c}") for c in ("n_lines", "n_dup_lines")}
+    fields["n_symbols"] = F.regexp_count(text, F.lit(SYMBOL)).cast("long")
+    return both.withColumns(fields).drop("qr_words", "qr_lines")
 
 
 def rule_order(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = 2000) -> list[Rule]:
