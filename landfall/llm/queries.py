@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.llm.common import documents, stored
+from landfall.llm.fingerprint import likeness, successive, text_form
 from landfall.llm.mixing import mix
 from landfall.llm.packing import pack
 from landfall.llm.quality import BASE_RULES, MORE_RULES, cascade, measured, rule_order
@@ -51,3 +52,17 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base.alias("base_failed"), F.col("failed_rule").isNull().alias("kept"), "failed_rule",
     )
+
+
+@query()
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, with likenesses."""
+    found = successive(documents(spark, sf_dir))
+    fp, edited, following = F.col("fp"), F.col("edited_fp"), F.col("next_fp")
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256",
+        text_form(fp["lanes"], fp["signs"], fp["triples"]).alias("fingerprint"),
+        text_form(edited["lanes"], edited["signs"], edited["triples"]).alias("edited_fingerprint"),
+        likeness(fp, edited).alias("near_edited"),
+        likeness(fp, following).alias("near_next"),
+    )
