@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.llm.chat import format_windows, read_loss, read_turns
@@ -12,6 +12,7 @@ from landfall.llm.mixing import mix
 from landfall.llm.packing import pack
 from landfall.llm.quality import BASE_RULES, MORE_RULES, cascade, measured, rule_order
 from landfall.llm.registry import query
+from landfall.llm.secrets import find_secrets, span_text
 from landfall.llm.token_scan import separator_scan, token_streams
 
 
@@ -98,3 +99,20 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(target.cast("binary"), 256).alias("loss_sha256"),
         "formatted_chars", "n_windows",
     )
+
+
+@query()
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every text: the fixed kinds, and what the randomness tests add."""
+    found = find_secrets(documents(spark, sf_dir))
+
+    def number(kind: int) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+
+    random = F.transform("random", lambda x: F.struct(x["start"], F.lit(3).alias("kind"), x["end"]))
+    return found.select(
+        "doc_id", number(0).alias("n_assign"), number(1).alias("n_access"), number(2).alias("n_hex"),
+        F.sha2(span_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        span_text(F.concat("base", random)).alias("spans"),
+        F.size("random").cast("long").alias("n_random"),
+    )
