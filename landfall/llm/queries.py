@@ -10,6 +10,7 @@ from landfall.llm.common import documents, stored
 from landfall.llm.fingerprint import likeness, successive, text_form
 from landfall.llm.mixing import mix
 from landfall.llm.packing import pack
+from landfall.llm.pii import replace_pii
 from landfall.llm.quality import BASE_RULES, MORE_RULES, cascade, measured, rule_order
 from landfall.llm.registry import query
 from landfall.llm.secrets import find_secrets, span_text
@@ -116,3 +117,9 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         span_text(F.concat("base", random)).alias("spans"),
         F.size("random").cast("long").alias("n_random"),
     )
+
+
+@query()
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates for personal data."""
+    return replace_pii(documents(spark, sf_dir))
