@@ -15,6 +15,7 @@ from landfall.llm.quality import BASE_RULES, MORE_RULES, cascade, measured, rule
 from landfall.llm.registry import query
 from landfall.llm.secrets import find_secrets, span_text
 from landfall.llm.token_scan import separator_scan, token_streams
+from landfall.llm.toxicity import held_out, score, train
 
 
 @query()
@@ -123,3 +124,11 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with surrogates for personal data."""
     return replace_pii(documents(spark, sf_dir))
+
+
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text."""
+    docs = documents(spark, sf_dir)
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
