@@ -9,6 +9,7 @@ from landfall.llm.chat import format_windows, read_loss, read_turns
 from landfall.llm.common import documents, stored
 from landfall.llm.fingerprint import likeness, successive, text_form
 from landfall.llm.mixing import mix
+from landfall.llm.ngram_join import joined
 from landfall.llm.packing import pack
 from landfall.llm.pii import replace_pii
 from landfall.llm.quality import BASE_RULES, MORE_RULES, cascade, measured, rule_order
@@ -132,3 +133,9 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document at a similarity of 0.8 or more."""
+    return joined(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "n_copies")
