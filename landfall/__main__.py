@@ -21,6 +21,9 @@ from landfall.schemas import LAKE_SCHEMAS, MONTHS
 from landfall.sources import monthly_paths
 
 
+CSV_TABLES = ("temperature", "airport_codes", "demographics")
+
+
 def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="landfall", description="Build the arrivals lake.")
     parser.add_argument(
@@ -39,6 +42,15 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--base", required=True, help="where the lake is written")
     parser.add_argument("--country", default="United States")
     parser.add_argument("--from-day", default="2000-01-01")
+    parser.add_argument(
+        "--na-tokens", nargs="+", default=[""], metavar="TEXT",
+        help="texts in CSV files that stand for a missing value, the empty one included",
+    )
+    parser.add_argument(
+        "--multi-line", nargs="+", default=[], choices=CSV_TABLES,
+        help="tables whose CSV files hold line breaks inside quotes",
+    )
+    parser.add_argument("--code-maps-by-line", action="store_true")
     parser.add_argument("--by-year", action="store_true", help="partition by year, then month")
     parser.add_argument("--keep-arrival-date", action="store_true")
     parser.add_argument("--tables", nargs="+", choices=list(LAKE_SCHEMAS))
@@ -65,6 +77,9 @@ def sources(options: argparse.Namespace) -> LakeSources:
         from_day=options.from_day,
         arrival_partitions=("year", "month") if options.by_year else ("month",),
         keep_arrival_date=options.keep_arrival_date,
+        na_tokens=tuple(options.na_tokens),
+        multi_line=tuple(options.multi_line),
+        code_maps_by_line=options.code_maps_by_line,
     )
 
 

@@ -1,13 +1,14 @@
 """General table operators: DataFrame in, lazy DataFrame out."""
 
 from landfall.operators.aggregates import average_by, count_by, stay_stats, top_k
-from landfall.operators.distinct import distinct_rows, distinct_rows_few_copies
+from landfall.operators.distinct import distinct_rows
 from landfall.operators.lookups import decode, key_coverage, left_lookup, unmatched_keys
 from landfall.operators.profiling import StepCounter, null_profile, profile, step_counts
 from landfall.operators.quality import (
     Check,
     QualityError,
     at_least_two,
+    check_columns,
     check_min_distinct,
     check_not_empty,
     check_not_null,
@@ -40,6 +41,7 @@ __all__ = [
     "at_least_two",
     "average_by",
     "cast_columns",
+    "check_columns",
     "check_min_distinct",
     "check_not_empty",
     "check_not_null",
@@ -50,7 +52,6 @@ __all__ = [
     "count_by",
     "decode",
     "distinct_rows",
-    "distinct_rows_few_copies",
     "drop_missing",
     "duplicate_keys",
     "enforce",

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.functions.columns import named
+from landfall.functions.columns import named, present
+
+_DAYS, _ROWS, _UPTO, _ALL = "__days", "__rows", "__upto", "__all"
 
 
 def count_by(df: DataFrame, *keys: str, out: str = "n") -> DataFrame:
@@ -47,18 +49,26 @@ def stay_stats(
 ) -> DataFrame:
     """Mean, exact median, extremes and count of a duration per key.
 
-    Rows are first counted per key and duration, which Spark combines map-side. The exact
-    median then sees one weighted row per distinct duration, not one per arrival; durations
-    are whole days, so their number per key is bounded by the calendar.
+    Missing durations, NaN among them, count nowhere. Rows are first counted per key and
+    duration, which Spark combines map-side. The median is read off the running count over
+    the durations in order, a sort that can spill, so any number of them will do.
     """
-    counted = count_by(df, *keys, duration, out="__rows")
-    days, rows = named(duration), F.col("__rows")
-    present = F.coalesce(F.sum(F.when(days.isNotNull(), rows)), F.lit(0))
-    mean = F.try_divide(F.sum(days * rows), present)
-    return counted.groupBy(*[named(key) for key in keys]).agg(
-        F.round(mean, 6).alias("avg_days"),
-        F.percentile(days, F.lit(0.5), rows).alias("median_days"),
+    known = df.withColumn(_DAYS, F.when(present(df, duration), named(duration)))
+    counted = count_by(known, *keys, _DAYS, out=_ROWS)
+    days, rows = F.col(_DAYS), F.when(F.col(_DAYS).isNotNull(), F.col(_ROWS))
+    key_columns = [named(key) for key in keys]
+    in_order = Window.partitionBy(*key_columns).orderBy(days.asc_nulls_last())
+    upto = F.sum(rows).over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = counted.withColumns(
+        {_UPTO: upto, _ALL: F.sum(rows).over(Window.partitionBy(*key_columns))}
+    )
+    lower = F.min(F.when(2 * F.col(_UPTO) >= F.col(_ALL), days))
+    upper = F.min(F.when(2 * F.col(_UPTO) > F.col(_ALL), days))
+    number = F.coalesce(F.sum(rows), F.lit(0))
+    return placed.groupBy(*key_columns).agg(
+        F.round(F.try_divide(F.sum(days * rows), number), 6).alias("avg_days"),
+        ((lower + upper) / 2).cast("double").alias("median_days"),
         F.min(days).alias("min_days"),
         F.max(days).alias("max_days"),
-        present.alias("n"),
+        number.alias("n"),
     )

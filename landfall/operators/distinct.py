@@ -1,16 +1,8 @@
-"""De-duplication over all columns, in two ways that give the same rows."""
+"""De-duplication over all columns."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from landfall.functions.columns import named
-
-_PRINT = "__fingerprint"
-
-# One million 8-byte fingerprints: a broadcast of some 20 MB at most.
-MAX_SHARED_FINGERPRINTS = 1_000_000
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -21,33 +13,3 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     below it by Catalyst, because all columns are grouping keys.
     """
     return df.dropDuplicates()
-
-
-def distinct_rows_few_copies(
-    df: DataFrame, max_shared: int = MAX_SHARED_FINGERPRINTS
-) -> DataFrame:
-    """The same rows as `distinct_rows`, cheaper where copies are rare.
-
-    A first pass shuffles one 8-byte fingerprint per row instead of whole rows. A row whose
-    fingerprint no other row has is distinct for certain and is never shuffled. Only rows
-    that share a fingerprint, be they copies or chance collisions, are compared column by
-    column. Equal rows always share a fingerprint, so the result is exact.
-
-    The shared fingerprints are counted before they are broadcast; above `max_shared`, or
-    where the session has no checkpoint folder to keep them in, all rows are compared.
-    The input is read up to three times and has to give the same rows each time.
-    """
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        return distinct_rows(df)
-    printed = df.withColumn(_PRINT, F.xxhash64(*[named(name) for name in df.columns]))
-    counted = printed.groupBy(_PRINT).agg(F.count(F.lit(1)).alias("n"))
-    shared = counted.where(F.col("n") > 1).select(_PRINT).limit(max_shared + 1).checkpoint()
-    found = shared.count()
-    if found == 0:
-        return df
-    if found > max_shared:
-        return distinct_rows(df)
-    bounded = F.broadcast(shared)
-    alone = printed.join(bounded, _PRINT, "left_anti").drop(_PRINT)
-    compared = printed.join(bounded, _PRINT, "left_semi").drop(_PRINT)
-    return alone.unionByName(distinct_rows(compared))

@@ -3,7 +3,9 @@
 No side is ever forced into a broadcast. Spark broadcasts a side only below
 `spark.sql.autoBroadcastJoinThreshold`, by estimate when planning and by measured
 shuffle size at run time (AQE). Past that size the join shuffles, and AQE splits a
-hot key on the fact side over several tasks (left joins allow that split).
+hot key on the fact side over several tasks (left joins allow that split). Two such joins
+in a row on one key share a shuffle, and AQE then splits neither unless
+`spark.sql.adaptive.forceOptimizeSkewedJoin` is set, which a large run needs.
 """
 
 from __future__ import annotations

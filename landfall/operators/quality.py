@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from landfall.functions.columns import missing, named
 from landfall.operators.aggregates import count_by
+from landfall.operators.profiling import profile
 
 _ROWS = "__rows_checked"
 
@@ -58,14 +59,17 @@ def not_empty() -> Check:
 def at_least_two(column: str) -> Check:
     """At least two different values: the smallest differs from the largest.
 
-    No grouping and no shuffle of the values themselves.
+    No grouping and no shuffle of the values themselves, so it can ride along on a write.
     """
     differ = F.coalesce(F.min(named(column)) != F.max(named(column)), F.lit(False))
     return Check("min_distinct", column, (~differ).cast("bigint"))
 
 
-def _nan_as_null(df: DataFrame) -> DataFrame:
-    """NaN sorts above every number in Spark, so `NaN > 1` holds; rules need NULL."""
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """The frame all checks look at: NaN is a missing value.
+
+    NaN sorts above every number in Spark, so `NaN > 1` would hold.
+    """
     floating = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     return df.withColumns(
         {name: F.when(~F.isnan(named(name)), named(name)) for name in floating}
@@ -90,7 +94,7 @@ def _as_rows(one_row: DataFrame, labels: Sequence[tuple[str, str]]) -> DataFrame
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All checks in a single aggregation over the table."""
     counters = [check.violations.alias(f"v{i}") for i, check in enumerate(checks)]
-    one_row = _nan_as_null(df).agg(F.count(F.lit(1)).alias(_ROWS), *counters)
+    one_row = nan_as_null(df).agg(F.count(F.lit(1)).alias(_ROWS), *counters)
     return _as_rows(one_row, [(check.name, check.target) for check in checks])
 
 
@@ -112,24 +116,16 @@ def check_not_empty(df: DataFrame) -> DataFrame:
 def check_min_distinct(df: DataFrame, columns: Sequence[str], at_least: int = 2) -> DataFrame:
     """At least `at_least` different values in each column; missing values do not count.
 
-    Two, the usual bound, needs only minimum and maximum, all columns in one pass. A
-    higher bound counts the distinct values of each column, which Spark de-duplicates
+    One aggregation counts the distinct values of all columns, which Spark de-duplicates
     map-side before the shuffle.
     """
-    if at_least == 2:
-        return run_checks(df, [at_least_two(name) for name in columns])
-    results = []
-    for name in columns:
-        per_value = count_by(df, name, out="n")
-        one_row = per_value.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias(_ROWS),
-            (F.count(named(name)) < at_least).cast("bigint").alias("v0"),
-        )
-        results.append(_as_rows(one_row, [("min_distinct", name)]))
-    united = results[0]
-    for result in results[1:]:
-        united = united.unionByName(result)
-    return united
+    return run_checks(
+        df,
+        [
+            Check("min_distinct", name, (F.count_distinct(named(name)) < at_least).cast("bigint"))
+            for name in columns
+        ],
+    )
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:
@@ -148,7 +144,7 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def check_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
     """One row per expected or surplus column: wanted type, found type, and the verdict.
 
-    Compares metadata only; no data is read.
+    Compares metadata only; no data is read. `check_columns` adds what the rows say.
     """
     wanted = {field.name: field.dataType.simpleString() for field in expected}
     found = {field.name: field.dataType.simpleString() for field in df.schema}
@@ -162,6 +158,13 @@ def check_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
     )
 
 
+def check_columns(df: DataFrame, expected: T.StructType) -> DataFrame:
+    """`check_schema` with the number of rows and missing values of each found column."""
+    found = profile(df).drop("position", "data_type").withColumnRenamed("column_name", "__found")
+    joined = check_schema(df, expected).join(found, F.col("column_name") == F.col("__found"), "left")
+    return joined.drop("__found")
+
+
 def check_row_count(source: DataFrame, target: DataFrame, target_name: str = "*") -> DataFrame:
     """Source against target: violations are the rows missing or surplus in the target."""
     none, all_rows = F.lit(0).cast("bigint"), F.count(F.lit(1))

@@ -47,10 +47,11 @@ def union_extracts(
 def drop_missing(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Rows that hold a value in every named column (in all columns by default).
 
-    Same rows as `dropna`, but the null tests reach the Parquet scan.
+    Same rows as `dropna`, but the null tests reach the Parquet scan. An empty list names no
+    column, so all rows stay.
     """
-    tests = [present(df, name) for name in subset or df.columns]
-    return df.where(reduce(and_, tests))
+    tests = [present(df, name) for name in (df.columns if subset is None else subset)]
+    return df.where(reduce(and_, tests)) if tests else df
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str], strict: bool = False) -> DataFrame:

@@ -6,8 +6,8 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from landfall.operators.distinct import distinct_rows, distinct_rows_few_copies
 from landfall.operators.quality import (
     Check,
     QualityError,
@@ -51,8 +51,10 @@ class LakeSources:
     """Where the raw data lies, as Hadoop URIs, and how to take it.
 
     Extracts of several years go with `arrival_partitions=("year", "month")`. Questions at
-    day grain need `keep_arrival_date`. `few_copies` picks the way copies are found, not
-    the result (see `distinct_rows_few_copies`).
+    day grain need `keep_arrival_date`. The three CSV tables share `na_tokens`, texts that
+    stand for a missing value; `multi_line` names those whose quoted values may hold line
+    breaks. `code_maps_by_line` reads code maps of one JSON object per line, which can be
+    split, instead of one object per file.
     """
 
     arrivals: Sequence[str]
@@ -68,34 +70,42 @@ class LakeSources:
     code_map_pattern: str = "*.json"
     arrival_partitions: Sequence[str] = LAKE_PARTITIONS["immigration"]
     keep_arrival_date: bool = False
-    few_copies: bool = True
+    na_tokens: Sequence[str] = ("",)
+    multi_line: Sequence[str] = ()
+    code_maps_by_line: bool = False
+
+    def csv_options(self, table: str) -> dict[str, object]:
+        return {"na_tokens": self.na_tokens, "multi_line": table in self.multi_line}
 
 
 def _temperature(spark: SparkSession, sources: LakeSources) -> Flow:
-    raw = read_csv(spark, sources.temperature, TEMPERATURE_CSV)
+    raw = read_csv(spark, sources.temperature, TEMPERATURE_CSV, **sources.csv_options("temperature"))
     return conform_temperature(raw, sources.country, sources.from_day), temperature_checks()
 
 
 def _airports(spark: SparkSession, sources: LakeSources) -> Flow:
-    airports = conform_airports(read_csv(spark, sources.airports, AIRPORT_CSV))
+    raw = read_csv(spark, sources.airports, AIRPORT_CSV, **sources.csv_options("airport_codes"))
+    airports = conform_airports(raw)
     return airports, airport_checks(airports)
 
 
 def _demographics(spark: SparkSession, sources: LakeSources) -> Flow:
-    raw = read_csv(spark, sources.demographics, DEMOGRAPHICS_CSV, sep=";")
+    options = sources.csv_options("demographics")
+    raw = read_csv(spark, sources.demographics, DEMOGRAPHICS_CSV, sep=";", **options)
     return conform_demographics(raw), demographics_checks()
 
 
 def _arrivals(spark: SparkSession, sources: LakeSources) -> Flow:
     extracts = read_extracts(spark, list(sources.arrivals), sources.arrivals_format)
-    distinct = distinct_rows_few_copies if sources.few_copies else distinct_rows
-    arrivals = conform_arrivals(extracts, sources.keep_arrival_date, distinct=distinct)
+    arrivals = conform_arrivals(extracts, sources.keep_arrival_date)
     return arrivals, arrival_checks(arrivals)
 
 
 def _code_map(path_of: str) -> Callable[[SparkSession, LakeSources], Flow]:
     def flow(spark: SparkSession, sources: LakeSources) -> Flow:
-        codes = read_code_map(spark, getattr(sources, path_of), sources.code_map_pattern)
+        codes = read_code_map(
+            spark, getattr(sources, path_of), sources.code_map_pattern, sources.code_maps_by_line
+        )
         return codes, code_map_checks(codes)
 
     return flow
@@ -125,11 +135,16 @@ def build_lake(
     Checks are counted while a table is written and only reported, so each raw table is
     read once. With `strict` they run before the write instead, and a failure raises
     while the old table still stands; that costs a second read.
-    `tables` limits the run, for sources that are refreshed at different times, and
-    `mode="partitions"` replaces only the partitions that occur in the new data.
+    `tables` limits the run, for sources that are refreshed at different times; an empty
+    list writes nothing. `mode="partitions"` replaces only the partitions that occur in the
+    new data. The fact table then has to be partitioned by year as well: with months alone,
+    a month of one year would replace that month of all years.
     """
+    wanted = list(_FLOWS) if tables is None else list(tables)
+    if mode == "partitions" and "immigration" in wanted and "year" not in sources.arrival_partitions:
+        raise ValueError("mode='partitions' needs 'year' among arrival_partitions")
     report = []
-    for table in tables or _FLOWS:
+    for table in wanted:
         df, checks = _FLOWS[table](spark, sources)
         if strict:
             try:
@@ -145,20 +160,32 @@ def build_lake(
             (table, name, target, violations, written.rows, violations == 0)
             for name, target, violations in written.checks
         ]
-        report += _stored_checks(spark, base, table, written.rows if mode == "full" else None)
+        refreshed = df.select(*partition_by) if mode == "partitions" and partition_by else None
+        report += _stored_checks(spark, base, table, written.rows, refreshed)
     return spark.createDataFrame(report, _REPORT)
 
 
 def _stored_checks(
-    spark: SparkSession, base: str, table: str, rows_written: int | None
+    spark: SparkSession,
+    base: str,
+    table: str,
+    rows_written: int,
+    refreshed: DataFrame | None = None,
 ) -> list[tuple]:
     """What only the finished table can tell: its row count, which Parquet answers from
-    its footers, and whether the keys of a dimension are unique."""
+    its footers, and whether the keys of a dimension are unique.
+
+    After a refresh only the partitions in `refreshed` are counted, which reads the
+    partition columns of the new data once more.
+    """
     stored = open_lake(spark, base, [table], register=False)[table]
-    found = []
-    if rows_written is not None:
-        lost = abs(rows_written - stored.count())
-        found.append((table, "row_count", "*", lost, rows_written, lost == 0))
+    written = stored
+    if refreshed is not None:
+        keys = refreshed.distinct().withColumnsRenamed({c: f"new_{c}" for c in refreshed.columns})
+        same = [F.col(c).eqNullSafe(F.col(f"new_{c}")) for c in refreshed.columns]
+        written = stored.join(keys, same, "left_semi")
+    lost = abs(rows_written - written.count())
+    found = [(table, "row_count", "*", lost, rows_written, lost == 0)]
     if table in LAKE_KEYS:
         found.append((table, *check_unique(stored, LAKE_KEYS[table]).first()))
     return found

@@ -10,8 +10,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,21 +45,19 @@ def conform_arrivals(
     extracts: DataFrame,
     keep_arrival_date: bool = False,
     counter: StepCounter | None = None,
-    distinct: Callable[[DataFrame], DataFrame] = distinct_rows,
 ) -> DataFrame:
     """The fact table: people who came by plane, with the length of their stay.
 
     Both filters look at one row at a time, so they may run before the de-duplication and
     reach the scan; with a `counter` the steps keep their order. Every raw column is part
-    of the key, so plain de-duplication shuffles whole raw rows; pass
-    `distinct=distinct_rows_few_copies` where copies are rare.
+    of the key, so whole raw rows are shuffled, after copies are dropped in each map task.
     Year and month become integers, so that partitions read `month=1`, not `month=1.0`.
     """
 
     if counter is None:
-        complete = distinct(_complete(_by_air(extracts)))
+        complete = distinct_rows(_complete(_by_air(extracts)))
     else:
-        once = counter.mark("distinct", distinct(counter.mark("read", extracts)))
+        once = counter.mark("distinct", distinct_rows(counter.mark("read", extracts)))
         by_air = counter.mark("by_air", _by_air(once))
         complete = counter.mark("complete", _complete(by_air))
     renamed = rename(complete.select(*ARRIVAL_COLUMNS), ARRIVAL_RENAMES)

@@ -66,11 +66,13 @@ def weather_at_peaks(
     k: int = 10,
     grain: str = "month",
 ) -> DataFrame:
-    """The k busiest (city, period) pairs, with the average temperature there and then.
+    """The k busiest (port, period) pairs, with the average temperature there and then.
 
-    Grain "month" and "year_month" use the fact table's own columns; "day" and
-    "day_of_month" need `arrival_date` (see `conform_arrivals(keep_arrival_date=True)`).
-    A code listed for several airports counts once, in its alphabetically first city.
+    All pairs are ranked, also those of ports without a known airport; only then are the
+    city and its weather joined, so an unknown city leaves NULL. A code listed for airports
+    in several cities gives a row for each. Grain "month" and "year_month" use the fact
+    table's own columns; "day" and "day_of_month" need `arrival_date` (see
+    `conform_arrivals(keep_arrival_date=True)`).
     """
     if "arrival_date" in arrivals.columns:
         periods = period_columns(F.col("arrival_date"), grain)
@@ -80,16 +82,10 @@ def weather_at_peaks(
         lacking = [name for name in periods if name not in arrivals.columns]
         if lacking:
             raise ValueError(f"grain {grain!r} needs an arrival_date column")
-    per_port = count_by(arrivals, "airport_code", *periods, out="arrivals")
-    cities = airports.groupBy("airport_code").agg(F.min("municipality").alias("city"))
-    located = left_lookup(per_port, cities, [("airport_code", "airport_code")])
-    per_city = (
-        located.where(F.col("city").isNotNull())
-        .groupBy("city", *periods)
-        .agg(F.sum("arrivals").alias("arrivals"))
-    )
-    order = [F.col("arrivals").desc(), F.col("city"), *[F.col(name) for name in periods]]
-    peaks = per_city.orderBy(*order).limit(k)
+    peaks = top_k(arrivals, ["airport_code", *periods], k, out="arrivals")
+    cities = airports.select("airport_code", F.col("municipality").alias("city")).distinct()
+    located = left_lookup(peaks, cities, [("airport_code", "airport_code")])
     weather = temperature_by(temperature, grain)
-    joined = left_lookup(peaks, weather, [("city", "city"), *[(p, p) for p in periods]])
+    joined = left_lookup(located, weather, [("city", "city"), *[(p, p) for p in periods]])
+    order = [F.col("arrivals").desc(), "airport_code", *periods, "city"]
     return joined.orderBy(*order)

@@ -144,7 +144,7 @@ PANDAS_NA_TOKENS = (
 )
 
 # Port descriptions that name no place.
-PLACEHOLDER_PATTERN = r"^No PORT Code|^Collapsed|UNKNOWN|^INVALID"
+PLACEHOLDER_PATTERN = r"^No PORT Code|^Collapsed|UNKNOWN|^UNIDENTIF|^INVALID"
 
 # --- fixed values: lake tables ---------------------------------------------
 

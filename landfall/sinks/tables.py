@@ -8,8 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from landfall.operators.quality import Check
+from landfall.functions.columns import named
+from landfall.operators.quality import Check, nan_as_null
 
+_WRITTEN = "__written"
 _MODES = {"full": "static", "partitions": "dynamic"}
 
 
@@ -30,7 +32,7 @@ def _layout(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     and merge small ones. Without AQE the hint could not split a hot value, so the rows
     stay where they are: more files, but no overfull task.
     """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+    if str(df.sparkSession.conf.get("spark.sql.adaptive.enabled")).lower() != "true":
         return df
     return df.hint("rebalance", *partition_by)
 
@@ -49,8 +51,8 @@ def write_table(
     `mode="full"` replaces the table; `mode="partitions"` replaces only the partitions
     that occur in `df`. `compact` keeps the number of files small (see `_layout`); turn
     it off to save the shuffle. Row count and checks are taken in the write's own last
-    stage, where Spark counts every finished task once, so they cost no second pass. Rules
-    see NaN as Spark sorts it, above every number; `run_checks` treats it as missing.
+    stage, where Spark counts every finished task once, so they cost no second pass. They
+    see the rows as `run_checks` does, with NaN as missing; what is written keeps its NaN.
     """
     if mode not in _MODES:
         raise ValueError(f"unknown mode {mode!r}; use one of {sorted(_MODES)}")
@@ -58,8 +60,10 @@ def write_table(
         df = _layout(df, partition_by)
     seen = Observation()
     counters = [check.violations.alias(f"v{i}") for i, check in enumerate(checks)]
+    whole = df.withColumn(_WRITTEN, F.struct(*[named(name) for name in df.columns]))
+    watched = nan_as_null(whole).observe(seen, F.count(F.lit(1)).alias("rows"), *counters)
     writer = (
-        df.observe(seen, F.count(F.lit(1)).alias("rows"), *counters)
+        watched.select(f"{_WRITTEN}.*")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", _MODES[mode])
     )

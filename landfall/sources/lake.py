@@ -29,7 +29,7 @@ def open_lake(
     adds that column to the fact table of a lake that was built to keep it.
     """
     opened = {}
-    for table in tables or LAKE_SCHEMAS:
+    for table in LAKE_SCHEMAS if tables is None else tables:
         schema = LAKE_SCHEMAS[table]
         if arrival_date and table == "immigration":
             schema = T.StructType([*schema, T.StructField("arrival_date", T.DateType())])

@@ -12,9 +12,6 @@ from landfall.functions.columns import named, null_tokens
 from landfall.operators.shaping import align_to, union_extracts
 from landfall.schemas import MONTHS
 
-# A code map is one JSON object and cannot be split, so it has to stay small.
-MAX_CODE_MAP_BYTES = 64 * 1024 * 1024
-
 
 def read_extract(
     spark: SparkSession,
@@ -92,18 +89,16 @@ def read_code_map(
     spark: SparkSession,
     path: str,
     pattern: str = "*.json",
-    max_bytes: int = MAX_CODE_MAP_BYTES,
+    by_line: bool = False,
 ) -> DataFrame:
     """A JSON object {"key": "value", ...} as a table (key, value).
 
-    Each file is read as a whole, because the object may be spread over many lines.
-    A file above `max_bytes` raises. Only files whose name fits `pattern` are read, which
-    keeps notebooks and other strays in the folder out.
+    By default a file holds one object, which may be spread over many lines, and is read as
+    a whole by one task. With `by_line` every line holds an object of its own, and large
+    files are split. Only files whose name fits `pattern` are read, which keeps notebooks
+    and other strays in the folder out.
     """
-    files = spark.read.text(path, wholetext=True, pathGlobFilter=pattern)
-    checked = F.when(
-        F.col("_metadata.file_size") > max_bytes,
-        F.raise_error(F.concat(F.lit("code map too large: "), F.col("_metadata.file_path"))),
-    ).otherwise(F.col("value"))
-    entries = F.from_json(checked, "map<string,string>", {"mode": "FAILFAST"})
+    texts = spark.read.text(path, wholetext=not by_line, pathGlobFilter=pattern)
+    files = texts.where(F.trim("value") != "") if by_line else texts
+    entries = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
     return files.select(F.explode(entries).alias("key", "value"))

@@ -20,7 +20,14 @@ conformed as (
     and i94port is not null and arrdate is not null and i94bir is not null)"""
 
 
-@query(f"{_CONFORMED_ARRIVALS} select * exclude (arrdate) from conformed")
+CONFORMED_ARRIVALS = f"{_CONFORMED_ARRIVALS} select * exclude (arrdate) from conformed"
+CONFORMED_AIRPORTS = f"""
+with {frames.AIRPORTS}
+select a.*, c_acctbal::varchar as coordinates
+from airports a join customer on airport_code = 'C' || c_custkey"""
+
+
+@query(CONFORMED_ARRIVALS)
 def conform_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw arrivals to the fact table."""
     return conform.conform_arrivals(frames.raw_arrivals(spark, sf_dir))
@@ -64,10 +71,7 @@ def conform_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""
-with {frames.AIRPORTS}
-select a.*, c_acctbal::varchar as coordinates
-from airports a join customer on airport_code = 'C' || c_custkey""")
+@query(CONFORMED_AIRPORTS)
 def conform_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw airports to the airport table."""
     return conform.conform_airports(frames.raw_airports(spark, sf_dir))
@@ -86,7 +90,10 @@ conformed as (
     and s_suppkey in (select l_suppkey from lineitem where l_linenumber <> 7))"""
 
 
-@query(f"{_DEMOGRAPHICS} select * from conformed")
+CONFORMED_DEMOGRAPHICS = f"{_DEMOGRAPHICS} select * from conformed"
+
+
+@query(CONFORMED_DEMOGRAPHICS)
 def conform_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw demographics to one row per city and state."""
     return conform.conform_demographics(frames.raw_demographics(spark, sf_dir))

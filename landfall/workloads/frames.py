@@ -243,7 +243,7 @@ def address_codes(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM {_ADDRESS_VALUES} AS t(key, value)")
 
 
-_ADDRESS_VALUES = "VALUES ('F', 'Filled'), ('O', 'Open'), ('99', 'All Other Codes')"
+_ADDRESS_VALUES = "VALUES ('F', 'Filled'), ('O', 'Open'), ('77', 'Elsewhere')"
 ADDRESS_CODES = f"address_desc(key, value) as ({_ADDRESS_VALUES})"
 
 
@@ -252,7 +252,7 @@ def visa_codes(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM {_VISA_VALUES} AS t(key, value)")
 
 
-_VISA_VALUES = "VALUES ('1', 'Business'), ('2', 'Pleasure'), ('3', 'Student')"
+_VISA_VALUES = "VALUES ('1', 'Work'), ('2', 'Leisure'), ('3', 'Study')"
 VISA_CODES = f"visacode_desc(key, value) as ({_VISA_VALUES})"
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 from landfall.operators import quality as checks
 from landfall.operators import profiling
+from landfall.sinks import write_table
 from landfall.workloads.frames import null_if
-from landfall.workloads.registry import load, query
+from landfall.workloads.registry import load, query, scratch
 
 
 def _check_rows(parts: list[str]) -> str:
@@ -110,6 +111,66 @@ def check_min_distinct_five(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.check_min_distinct(events, ["event_type", "day"], at_least=5)
 
 
+_NAN_RULES = {
+    "quantity_over_one": "q > 1",
+    "quantity_open_or_positive": "q IS NULL OR q > 0",
+    "line_positive": "l_linenumber > 0",
+}
+_NAN_SQL = [
+    f"""select 'rule', '{name}', count(*) filter (not coalesce({rule}, false)), count(*)
+        from (select nullif(l_quantity, 50) as q, l_linenumber from lineitem)"""
+    for name, rule in _NAN_RULES.items()
+]
+
+
+def _items_with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines whose quantity is NaN where it was 50."""
+    quantity = F.when(F.col("l_quantity") == 50, F.lit(float("nan"))).otherwise(F.col("l_quantity"))
+    items = load(spark, sf_dir, "lineitem")
+    return items.select("l_orderkey", "l_linenumber", quantity.alias("q"))
+
+
+@query(_check_rows(_NAN_SQL))
+def check_rules_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN is a missing value in every rule."""
+    return checks.check_rules(_items_with_nan(spark, sf_dir), _NAN_RULES)
+
+
+@query(_check_rows(_NAN_SQL))
+def check_rules_on_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rules counted while the rows are written."""
+    items = _items_with_nan(spark, sf_dir)
+    path = scratch(spark, "items_checked")
+    report = write_table(items, path, checks=checks.rules(_NAN_RULES))
+    rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_checked"))
+    found = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("check_name"), F.lit(target).alias("target"),
+                F.lit(violations).cast("bigint").alias("violations"), "rows_checked",
+                F.lit(violations == 0).alias("passed"),
+            )
+            for name, target, violations in report.checks
+        ]
+    )
+    return rows.select(F.inline(found))
+
+
+@query(
+    _check_rows(
+        [
+            f"""select 'min_distinct', '{name}', (count(distinct {value}) < 51)::int, count(*)
+                from lineitem"""
+            for name, value in {"q": "nullif(l_quantity, 50)", "l_orderkey": "l_orderkey"}.items()
+        ]
+    )
+)
+def check_min_distinct_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN is not one of the different values; all columns in one pass."""
+    items = _items_with_nan(spark, sf_dir)
+    return checks.check_min_distinct(items, ["q", "l_orderkey"], at_least=51)
+
+
 @query(
     _check_rows(
         [
@@ -149,16 +210,22 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select * from (values ('o_orderkey', 'bigint', 'bigint', true),
-                      ('o_custkey', 'bigint', 'bigint', true),
-                      ('o_orderstatus', 'string', 'string', true),
-                      ('o_totalprice', 'float', 'double', false),
-                      ('o_orderdate', 'timestamp_ntz', 'timestamp_ntz', true),
-                      ('o_clerk', 'string', null, false),
-                      ('o_orderpriority', null, 'string', false))
-  as t(column_name, expected_type, data_type, passed)""")
+with n as (select count(*) as row_count from orders)
+select t.*, case when data_type is not null then row_count end as row_count,
+       case when data_type is not null then row_count - nulls end as non_null,
+       case when data_type is not null then nulls end as null_count
+from n, (values ('o_orderkey', 'bigint', 'bigint', true),
+                ('o_custkey', 'bigint', 'bigint', true),
+                ('o_orderstatus', 'string', 'string', true),
+                ('o_totalprice', 'float', 'double', false),
+                ('o_orderdate', 'timestamp_ntz', 'timestamp_ntz', true),
+                ('o_clerk', 'string', null, false),
+                ('o_orderpriority', null, 'string', false))
+  as t(column_name, expected_type, data_type, passed),
+  lateral (select count(*) filter (t.column_name = 'o_orderpriority'
+                                   and o_orderpriority = '5-LOW') as nulls from orders)""")
 def check_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wanted against found columns and types."""
+    """Wanted against found columns and types, with the rows and missing values of each."""
     expected = T.StructType(
         [
             T.StructField("o_orderkey", T.LongType()),
@@ -169,7 +236,9 @@ def check_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
             T.StructField("o_clerk", T.StringType()),
         ]
     )
-    return checks.check_schema(load(spark, sf_dir, "orders"), expected)
+    orders = load(spark, sf_dir, "orders")
+    given = orders.withColumn("o_orderpriority", null_if(F.col("o_orderpriority"), "5-LOW"))
+    return checks.check_columns(given, expected)
 
 
 @query(

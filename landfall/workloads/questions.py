@@ -71,6 +71,21 @@ def stay_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.stay_stats(items.withColumn("stay_duration", days), ["o_orderpriority"])
 
 
+@query("""
+select o_orderpriority, round(avg(d), 6) as avg_days, quantile_cont(d, 0.5) as median_days,
+       min(d) as min_days, max(d) as max_days, count(d) as n
+from (select o_orderpriority, case when l_quantity <> 50
+        then date_diff('day', o_orderdate, l_shipdate) / 4 end as d
+      from lineitem join orders on l_orderkey = o_orderkey) group by 1""")
+def stay_stats_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length of stay in fractions of a day; NaN is missing."""
+    items = frames.items_with_orders(spark, sf_dir)
+    days = F.when(F.col("l_quantity") == 50, F.lit(float("nan"))).otherwise(
+        F.datediff("l_shipdate", "o_orderdate") / 4
+    )
+    return aggregates.stay_stats(items.withColumn("stay_duration", days), ["o_orderpriority"])
+
+
 @query(f"""
 with {frames.ARRIVALS}
 select visacode, month, round(avg(stay_duration), 6) as avg_days,
@@ -99,53 +114,73 @@ def airport_city_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PEAKS = """
-located as (select municipality as city, {period} as period, count(*) as arrivals
-            from arrivals join airports on arrivals.airport_code = airports.airport_code
-            group by 1, 2),
-peaks as (select * from located order by arrivals desc, city, period limit {k}),
+ranked as (select airport_code, {period} as period, count(*) as arrivals
+           from arrivals group by 1, 2),
+peaks as (select * from ranked order by arrivals desc, airport_code, period limit {k}),
+cities as (select distinct airport_code, municipality as city from airports),
 weather as (select city, {weather} as period, count(*) as readings,
                    round(avg(avg_temperature), 6) as avg_temperature
-            from temperature group by 1, 2)"""
+            from temperature group by 1, 2)
+select peaks.airport_code, peaks.period as {name}, arrivals, cities.city, avg_temperature, readings
+from peaks left join cities on peaks.airport_code = cities.airport_code
+left join weather on cities.city = weather.city and peaks.period = weather.period"""
 
 
 @query(f"""
 with {frames.ARRIVALS}, {frames.AIRPORTS}, {frames.TEMPERATURE},
-{_PEAKS.format(period="month", weather="month(dt::date)::int", k=40)}
-select peaks.city, peaks.period as month, arrivals, avg_temperature, readings
-from peaks left join weather on peaks.city = weather.city and peaks.period = weather.period""")
+{_PEAKS.format(period="month", weather="month(dt::date)::int", name="month", k=400)}""")
 def weather_at_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weather in the months with most arrivals, per city."""
-    tables = lake(
-        spark, sf_dir, "immigration", "airport_codes", "temperature"
-    )
+    """Weather in the months with most arrivals, per port; ports without a city stay."""
+    tables = lake(spark, sf_dir, "immigration", "airport_codes", "temperature")
     return questions.weather_at_peaks(
         tables["immigration"].drop("arrival_date"),
         tables["airport_codes"],
         tables["temperature"],
-        k=40,
+        k=400,
         grain="month",
     )
 
 
 @query(f"""
 with {frames.ARRIVALS}, {frames.AIRPORTS}, {frames.TEMPERATURE},
-{_PEAKS.format(period="day(arrival_date)::int", weather="day(dt::date)::int", k=50)}
-select peaks.city, peaks.period as day_of_month, arrivals, avg_temperature, readings
-from peaks left join weather on peaks.city = weather.city and peaks.period = weather.period""")
+{_PEAKS.format(
+    period="day(arrival_date)::int", weather="day(dt::date)::int", name="day_of_month", k=500)}""")
 def weather_at_peak_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same per day of the month."""
-    tables = lake(
-        spark, sf_dir, "immigration", "airport_codes", "temperature"
-    )
+    tables = lake(spark, sf_dir, "immigration", "airport_codes", "temperature")
     return questions.weather_at_peaks(
         tables["immigration"],
         tables["airport_codes"],
         tables["temperature"],
-        k=50,
+        k=500,
         grain="day_of_month",
     )
 
 
+# Days between the first order and the first reading, so that dates of both meet.
+_SHIFT = 10_592
+
+
+@query(f"""
+with {frames.ARRIVALS}, {frames.AIRPORTS},
+temperature as (
+  select (ts::date - {_SHIFT})::date as dt, value as avg_temperature,
+         'NATION_' || (user_id % 20) as city from events),
+{_PEAKS.format(period="arrival_date", weather="dt", name="day", k=500)}""")
+def weather_at_peaks_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather on the days with most arrivals, per port; all readings are shifted by a fixed
+    number of days, since the given tables lie years apart."""
+    tables = lake(spark, sf_dir, "immigration", "airport_codes", "temperature")
+    shifted = F.date_sub(F.col("dt").cast("date"), _SHIFT)
+    return questions.weather_at_peaks(
+        tables["immigration"],
+        tables["airport_codes"],
+        tables["temperature"].withColumn("dt", shifted),
+        k=500,
+        grain="day",
+    )
+
+
 @query("""
 with d as (select day(o_orderdate)::int as day_of_month, count(*) as arrivals from orders
            group by 1 order by arrivals desc, day_of_month limit 5),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,22 +43,17 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh folder for tables a query writes and reads back.
+    """A folder for tables a query writes and reads back.
 
-    It lies in the shared folder the cluster names in `spark.checkpoint.dir`. Only a
-    local session without that setting may use the machine's own temporary folder. The
-    folder is removed when the session's JVM ends, since a lazy result may need it until
-    then.
+    It lies in the shared folder the cluster names in `spark.checkpoint.dir`, or in the
+    session's warehouse where that is unset. A session has one folder per label: running a
+    query again first frees what its last run wrote, and the end of the JVM frees the rest.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="landfall-")
-    folder = f"{base.rstrip('/')}/landfall/{label}-{uuid.uuid4().hex}"
-    if hasattr(spark, "_jvm"):
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        files.mkdirs(path)
-        files.deleteOnExit(path)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{base.rstrip('/')}/landfall/{spark.sparkContext.applicationId}/{label}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path, True)
+    files.mkdirs(path)
+    files.deleteOnExit(path)
     return f"{folder}/data"

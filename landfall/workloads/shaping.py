@@ -10,7 +10,6 @@ from landfall.operators import (
     align_to,
     cast_columns,
     distinct_rows,
-    distinct_rows_few_copies,
     drop_missing,
     rename,
     since,
@@ -28,16 +27,26 @@ def _orders_with_drift(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [orders, january.select(*reversed(orders.columns), F.lit(0.0).alias("delete_days"))]
 
 
+def _twelve_extracts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Orders by month; each extract holds January once more, later ones in another order."""
+    orders = load(spark, sf_dir, "orders")
+    january = orders.where(F.month("o_orderdate") == 1)
+    extracts = []
+    for month in range(1, 13):
+        own = orders.where(F.month("o_orderdate") == month).unionByName(january)
+        names = orders.columns if month % 2 else [*reversed(orders.columns)]
+        extra = [F.lit(0.0).alias("delete_days")] if month == 6 else []
+        extracts.append(own.select(*names, *extra))
+    return extracts
+
+
 @query("""
 select year(o_orderdate)::int as year, month(o_orderdate)::int as month,
-       o_orderkey, prio
-from (select distinct *, nullif(o_orderpriority, '5-LOW') as prio
-      from (select * from orders
-            union all select * from orders where month(o_orderdate) = 1))
-where o_orderstatus = 'F' and prio is not null""")
+       o_orderkey, nullif(o_orderpriority, '5-LOW') as prio
+from orders where o_orderstatus = 'F' and o_orderpriority <> '5-LOW'""")
 def conform_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unite drifting extracts, drop copies, filter, drop missing, project, rename."""
-    rows = distinct_rows(union_extracts(_orders_with_drift(spark, sf_dir)))
+    """Unite twelve drifting extracts, drop copies, filter, drop missing, project."""
+    rows = distinct_rows(union_extracts(_twelve_extracts(spark, sf_dir)))
     filled = rows.where(F.col("o_orderstatus") == "F").withColumn(
         "prio", null_if(F.col("o_orderpriority"), "5-LOW")
     )
@@ -58,11 +67,11 @@ def union_drifting_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_extracts(_orders_with_drift(spark, sf_dir))
 
 
-@query("""
-select o_orderkey, o_totalprice, o_custkey from orders where month(o_orderdate) = 1""")
+@query("select o_orderkey, o_totalprice, o_custkey from orders")
 def align_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's columns in the contract's order."""
-    drifted = _orders_with_drift(spark, sf_dir)[1]
+    orders = load(spark, sf_dir, "orders")
+    drifted = orders.select(*reversed(orders.columns), F.lit(0.0).alias("delete_days"))
     return align_to(drifted, ["o_orderkey", "o_totalprice", "o_custkey"])
 
 
@@ -74,14 +83,6 @@ def distinct_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_rows(union_extracts(_orders_with_drift(spark, sf_dir)))
 
 
-@query("""
-select distinct * from (select * from orders
-  union all select * from orders where month(o_orderdate) = 1)""")
-def distinct_few_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, comparing only rows that share a fingerprint."""
-    return distinct_rows_few_copies(union_extracts(_orders_with_drift(spark, sf_dir)))
-
-
 @query("select distinct c_nationkey, c_mktsegment from customer")
 def distinct_after_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drop columns first, then copies."""
@@ -218,7 +219,7 @@ def rename_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename(parts, {"p_name": "part_name", "p_brand": "brand"}, strict=True)
 
 
-@query()
+@query("select * from orders order by o_orderkey limit 10")
 def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten rows of the table, whichever come first."""
-    return load(spark, sf_dir, "orders").limit(10)
+    """The ten rows with the least keys."""
+    return load(spark, sf_dir, "orders").orderBy("o_orderkey").limit(10)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from landfall import plans
 from landfall.operators import count_by, decode
-from landfall.schemas import MONTHS
+from landfall.schemas import LAKE_SCHEMAS, MONTHS
 from landfall.sinks import write_csv, write_table
 from landfall.sources import (
     monthly_paths,
@@ -18,6 +18,11 @@ from landfall.sources import (
     read_extracts,
 )
 from landfall.workloads import frames
+from landfall.workloads.flows import (
+    CONFORMED_AIRPORTS,
+    CONFORMED_ARRIVALS,
+    CONFORMED_DEMOGRAPHICS,
+)
 from landfall.workloads.registry import load, query, scratch
 
 
@@ -73,6 +78,21 @@ def partition_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by(spark.read.parquet(path), "month")
 
 
+@query("""
+select year(o_orderdate)::int as year, month(o_orderdate)::int as month,
+       count(*) * case when year(o_orderdate) = 1996 and month(o_orderdate) = 3 then 2 else 1 end
+         as n
+from orders group by year(o_orderdate), month(o_orderdate)""")
+def partition_refresh_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One month of one year replaced; the same month of other years stays."""
+    path = scratch(spark, "orders_refreshed_by_year")
+    orders = _dated_orders(spark, sf_dir)
+    write_table(orders, path, ["year", "month"])
+    march = orders.where("year = 1996 and month = 3")
+    write_table(march.unionByName(march), path, ["year", "month"], mode="partitions")
+    return count_by(spark.read.parquet(path), "year", "month")
+
+
 @query("select count(*) as rows_written, count(*) as rows_read from orders")
 def write_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows counted on the way into the table, and rows found in it."""
@@ -151,23 +171,25 @@ def code_map_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _nation_code_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 25 nations as a JSON code map file, read back as a table."""
-    path = scratch(spark, "nation_codes")
-    entry = F.struct(F.col("n_nationkey").cast("string"), F.col("n_name"))
-    nations = load(spark, sf_dir, "nation").agg(F.collect_list(entry).alias("entries"))
-    as_json = F.to_json(F.map_from_entries("entries"), {"pretty": "true"})
-    nations.select(as_json.alias("value")).write.text(path)
-    return read_code_map(spark, path, pattern="*.txt")
+def _code_map(rows: DataFrame, key: str, value: str, label: str) -> DataFrame:
+    """Two columns as a JSON code map with an object per line, read back as a table."""
+    path = scratch(rows.sparkSession, label)
+    _write_code_map(rows, key, value, path)
+    return read_code_map(rows.sparkSession, path, pattern="*.txt", by_line=True)
+
+
+def _write_code_map(rows: DataFrame, key: str, value: str, path: str) -> None:
+    entry = F.create_map(F.col(key).cast("string"), F.col(value))
+    rows.select(F.to_json(entry).alias("value")).write.text(path)
 
 
 @query("""
-select c_custkey, n_name as nation from customer left join nation on c_nationkey = n_nationkey""")
+select o_orderkey, c_name as customer from orders left join customer on o_custkey = c_custkey""")
 def code_map_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A code map read from a pretty-printed JSON file, used to decode every customer."""
-    customers = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    codes = _nation_code_map(spark, sf_dir)
-    return decode(customers, "c_nationkey", codes, "nation").drop("c_nationkey")
+    """A code map of all customers, an object per line, used to decode every order."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    codes = _code_map(load(spark, sf_dir, "customer"), "c_custkey", "c_name", "customer_codes")
+    return decode(orders, "o_custkey", codes, "customer").drop("o_custkey")
 
 
 @query("""
@@ -176,7 +198,8 @@ from nation left join customer on n_nationkey = c_nationkey group by 1, 2""")
 def published_code_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A code map published as a lake table and joined from there."""
     base = scratch(spark, "lake_of_codes")
-    write_table(_nation_code_map(spark, sf_dir), f"{base}/address_desc")
+    nations = _code_map(load(spark, sf_dir, "nation"), "n_nationkey", "n_name", "nation_codes")
+    write_table(nations, f"{base}/address_desc")
     codes = open_lake(spark, base, ["address_desc"], register=False)["address_desc"]
     counted = count_by(load(spark, sf_dir, "customer"), "c_nationkey", out="customers")
     keyed = counted.select(
@@ -187,19 +210,40 @@ def published_code_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lake_sources(spark: SparkSession, sf_dir: str) -> plans.LakeSources:
-    """Raw files for a whole lake, written from the given tables."""
-    base = scratch(spark, "raw")
-    rows = frames.raw_arrivals(spark, sf_dir)
-    names = F.element_at(F.array(*[F.lit(month) for month in MONTHS]), F.col("i94mon").cast("int"))
-    write_table(rows.withColumn("name", names), f"{base}/arrivals", ["name"])
-    write_csv(frames.raw_temperature(spark, sf_dir), f"{base}/temperature")
-    write_csv(frames.raw_airports(spark, sf_dir), f"{base}/airports")
-    write_csv(frames.raw_demographics(spark, sf_dir), f"{base}/demographics", sep=";")
-    nations = load(spark, sf_dir, "nation")
-    entry = F.struct(F.col("n_nationkey").cast("string"), F.col("n_name"))
-    as_json = F.to_json(F.map_from_entries(F.collect_list(entry)))
-    nations.agg(as_json.alias("value")).write.text(f"{base}/codes")
+def _lake_sources(
+    spark: SparkSession, sf_dir: str, label: str, tables: tuple[str, ...], gaps: bool = False
+) -> plans.LakeSources:
+    """Raw files for the named lake tables, written from the given ones.
+
+    With `gaps`, missing numbers are the text NA and airport names hold a line break.
+    """
+    base = scratch(spark, label)
+    if "immigration" in tables:
+        rows = frames.raw_arrivals(spark, sf_dir)
+        names = F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.col("i94mon").cast("int"))
+        write_table(rows.withColumn("name", names), f"{base}/arrivals", ["name"])
+    if "temperature" in tables:
+        readings = frames.raw_temperature(spark, sf_dir)
+        if gaps:
+            numbers = ("AverageTemperature", "AverageTemperatureUncertainty")
+            readings = readings.withColumns(
+                {c: F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in numbers}
+            )
+        write_csv(readings, f"{base}/temperature")
+    if "airport_codes" in tables:
+        airports = frames.raw_airports(spark, sf_dir)
+        if gaps:
+            airports = airports.withColumns(
+                {
+                    "name": F.concat("name", F.lit("\nsecond line")),
+                    "iata_code": F.coalesce("iata_code", F.lit("NA")),
+                }
+            )
+        write_csv(airports, f"{base}/airports")
+    if "demographics" in tables:
+        write_csv(frames.raw_demographics(spark, sf_dir), f"{base}/demographics", sep=";")
+    if any(name.endswith("_desc") for name in tables):
+        _write_code_map(load(spark, sf_dir, "nation"), "n_nationkey", "n_name", f"{base}/codes")
     return plans.LakeSources(
         arrivals=monthly_paths(base + "/arrivals/name={month}"),
         temperature=f"{base}/temperature",
@@ -210,9 +254,22 @@ def _lake_sources(spark: SparkSession, sf_dir: str) -> plans.LakeSources:
         visa_codes=f"{base}/codes",
         from_day="2024-01-10",
         code_map_pattern="*.txt",
+        code_maps_by_line=True,
+        na_tokens=("", "NA") if gaps else ("",),
+        multi_line=("airport_codes",) if gaps else (),
     )
 
 
+def _built(
+    spark: SparkSession, sf_dir: str, label: str, tables: tuple[str, ...], gaps: bool = False
+) -> dict[str, DataFrame]:
+    """The named tables of a lake built from raw files, as read back from it."""
+    base = scratch(spark, f"{label}_lake")
+    sources = _lake_sources(spark, sf_dir, f"{label}_raw", tables, gaps)
+    plans.build_lake(spark, sources, base, tables)
+    return open_lake(spark, base, tables, register=False)
+
+
 _LAKE = f"""
 with {frames.RAW_ARRIVALS}, {frames.RAW_TEMPERATURE}, {frames.AIRPORTS},
 immigration as (
@@ -235,9 +292,7 @@ union all select t, count(*) from nation,
   (values ('address_desc'), ('airport_desc'), ('visacode_desc')) as m(t) group by t""")
 def build_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run on raw files; rows of every table as read back from the lake."""
-    base = scratch(spark, "lake")
-    plans.build_lake(spark, _lake_sources(spark, sf_dir), base)
-    tables = open_lake(spark, base, register=False)
+    tables = _built(spark, sf_dir, "whole", tuple(LAKE_SCHEMAS))
     counts = [
         df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
         for name, df in tables.items()
@@ -248,16 +303,59 @@ def build_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return united
 
 
+@query(CONFORMED_ARRIVALS)
+def built_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows and columns of the fact table in a built lake."""
+    return _built(spark, sf_dir, "facts", ("immigration",))["immigration"]
+
+
+@query(CONFORMED_AIRPORTS)
+def built_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of the airport table in a built lake."""
+    return _built(spark, sf_dir, "airports", ("airport_codes",))["airport_codes"]
+
+
+@query(CONFORMED_DEMOGRAPHICS)
+def built_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of the demographics table in a built lake."""
+    return _built(spark, sf_dir, "people", ("demographics",))["demographics"]
+
+
+@query(f"""
+with {frames.RAW_TEMPERATURE}, {frames.AIRPORTS}
+select 'temperature' as table_name, city as name, dt as key, avg_temperature as number
+from raw_temperature
+where avg_temperature is not null and avg_temperature_uncert is not null
+  and country = 'United States' and dt >= '2024-01-10'
+union all
+select 'airport_codes', airport_name || chr(10) || 'second line', airport_code, elevation_ft
+from airports""")
+def built_from_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake from CSV files with NA for missing values and line breaks inside quotes."""
+    lake = _built(spark, sf_dir, "gaps", ("temperature", "airport_codes"), gaps=True)
+    readings = lake["temperature"].select(
+        F.lit("temperature").alias("table_name"), F.col("city").alias("name"),
+        F.col("dt").alias("key"), F.col("avg_temperature").alias("number"),
+    )
+    return readings.unionByName(
+        lake["airport_codes"].select(
+            F.lit("airport_codes").alias("table_name"), F.col("airport_name").alias("name"),
+            F.col("airport_code").alias("key"), F.col("elevation_ft").alias("number"),
+        )
+    )
+
+
 @query(f"""
 {_LAKE}
 select year, month, count(*) as arrivals, count(distinct airport_code) as ports
-from immigration group by 1, 2 having count(*) > 10""")
+from immigration group by 1, 2""")
 def lake_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Free SQL over the views of an opened lake."""
-    base = scratch(spark, "lake_for_sql")
-    plans.build_lake(spark, _lake_sources(spark, sf_dir), base, tables=["immigration"])
+    base = scratch(spark, "sql_lake")
+    sources = _lake_sources(spark, sf_dir, "sql_raw", ("immigration",))
+    plans.build_lake(spark, sources, base, tables=["immigration"])
     open_lake(spark, base, ["immigration"])
     return spark.sql("""
         SELECT year, month, count(*) AS arrivals, count(DISTINCT airport_code) AS ports
-        FROM immigration GROUP BY year, month HAVING count(*) > 10
+        FROM immigration GROUP BY year, month
     """)

@@ -19,7 +19,7 @@ def arrival(cicid, **changes):
         "cicid": float(cicid),
         "i94yr": 2016.0,
         "i94mon": 1.0,
-        "i94port": "NYC",
+        "i94port": "NYQ",
         "i94addr": "NY",
         "i94mode": 1.0,
         "i94visa": 2.0,
@@ -48,8 +48,8 @@ JANUARY = [
     arrival(10, i94bir=float("nan")),
     arrival(11, depdate=None),
     arrival(12, depdate=20450.0),  # leaves before arriving
-    arrival(13, gender=None, i94port="LOS", i94visa=1.0),
-    arrival(14, i94addr=None, i94port="XXX", i94visa=9.0),
+    arrival(13, gender=None, i94port="LAQ", i94visa=1.0),
+    arrival(14, i94addr=None, i94port="ZZZ", i94visa=9.0),
 ]
 
 JUNE = [arrival(20, i94mon=6.0, arrdate=20610.0, depdate=20611.0)]
@@ -77,7 +77,7 @@ TEMPERATURE_CSV = """dt,AverageTemperature,AverageTemperatureUncertainty,City,Co
 """
 
 AIRPORT_CSV = '''ident,type,name,elevation_ft,continent,iso_country,iso_region,municipality,gps_code,iata_code,local_code,coordinates
-K1,large_airport,"Kennedy, John F.",13,NA,US,US-NY,New York,KJFK,NYC,JFK,"-73.7, 40.6"
+K1,large_airport,"Kennedy, John F.",13,NA,US,US-NY,New York,KJFK,NYQ,JFK,"-73.7, 40.6"
 K2,small_airport,"The ""Old"" Field",,NA,US,US-IL,Springfield,,SPI,,"-89.6, 39.8"
 K3,small_airport,No Code Field,5.5,NA,US,US-TX,Austin,,,,"-97, 30"
 K4,large_airport,Hosea Kutako,5640,AF,NA,NA-KH,Windhoek,FYWH,WDH,,"17.4, -22.4"
@@ -103,19 +103,19 @@ Crowded;Ohio;33.0;1;1;2;0;1;2.1;OH;White;5
 Veteran;Ohio;33.0;10;20;30;10;2;2.1;OH;White;5
 """
 
-ADDRESS_CODES = {"NY": "NEW YORK", "CA": "CALIFORNIA", "99": "All Other Codes"}
+ADDRESS_CODES = {"NY": "NEW YARD", "CA": "CALDERA", "77": "Elsewhere"}
 PORT_CODES = {
-    "NYC": "NEW YORK, NY",
-    "LOS": "LOS ANGELES, CA",
-    "XXX": "NOT REPORTED/UNKNOWN",
-    "FRG": "Collapsed (FOK) 06/15",
-    "060": "No PORT Code (60)",
-    ".GA": "No PORT Code (.GA)",
-    "IWA": "INVALID - IWAKUNI, JAPAN",
-    "AG": "ALBANY, NY",
-    "5KE": "ALBANY, NY",
+    "NYQ": "NEW YARD, NY",
+    "LAQ": "LOWER ARM, CA",
+    "ZZZ": "UNKNOWN PLACE",
+    "QFG": "Collapsed (QQQ) 01/02",
+    "071": "No PORT Code (71)",
+    ".QB": "No PORT Code (.QB)",
+    "QIW": "INVALID - SOMEWHERE",
+    "QA": "ALDERBY, NY",
+    "7QE": "ALDERBY, NY",
 }
-VISA_CODES = {"1": "Business", "2": "Pleasure", "3": "Student"}
+VISA_CODES = {"1": "Work", "2": "Leisure", "3": "Study"}
 
 
 def write_raw(spark: SparkSession, folder: Path) -> dict[str, str]:

@@ -25,6 +25,7 @@ from landfall.schemas import (
     TEMPERATURE_CSV,
 )
 from landfall.sources import open_lake, read_csv
+from landfall.sinks import write_table
 
 
 def types(schema):
@@ -45,13 +46,13 @@ def test_arrivals(extracts):
     fact = conform_arrivals(extracts)
     assert types(fact.schema) == types(LAKE_SCHEMAS["immigration"])
     found = rows(fact)
-    usual = (2016, 1, "NYC", "NY", 2.0, 1976.0, "F", "B2", 10.0)
+    usual = (2016, 1, "NYQ", "NY", 2.0, 1976.0, "F", "B2", 10.0)
     # Travellers 1 and 2 agree in all kept columns and must both remain.
     assert found.count(usual) == 2
-    assert (2016, 1, "NYC", "NY", 2.0, 1976.0, "F", "B2", None) in found
-    assert (2016, 1, "NYC", "NY", 2.0, 1976.0, "F", "B2", -4.0) in found
-    assert (2016, 1, "LOS", "NY", 1.0, 1976.0, None, "B2", 10.0) in found
-    assert (2016, 6, "NYC", "NY", 2.0, 1976.0, "F", "B2", 1.0) in found
+    assert (2016, 1, "NYQ", "NY", 2.0, 1976.0, "F", "B2", None) in found
+    assert (2016, 1, "NYQ", "NY", 2.0, 1976.0, "F", "B2", -4.0) in found
+    assert (2016, 1, "LAQ", "NY", 1.0, 1976.0, None, "B2", 10.0) in found
+    assert (2016, 6, "NYQ", "NY", 2.0, 1976.0, "F", "B2", 1.0) in found
     assert len(found) == 7
 
 
@@ -102,7 +103,7 @@ def test_airports(spark, raw_paths):
     kept = conform_airports(read_csv(spark, raw_paths["airports"], AIRPORT_CSV))
     assert types(kept.schema) == types(LAKE_SCHEMAS["airport_codes"])
     codes = {r.airport_code: r for r in kept.collect()}
-    assert set(codes) == {"NYC", "SPI", "WDH", "NWH", "SGF", "BHX"}
+    assert set(codes) == {"NYQ", "SPI", "WDH", "NWH", "SGF", "BHX"}
     assert codes["WDH"].iso_country == "NA"
     assert codes["SPI"].elevation_ft is None
     assert codes["NWH"].municipality is None
@@ -165,12 +166,36 @@ def test_whole_lake(spark, raw_paths, tmp_path):
 
 def test_refresh_of_one_table_and_one_month(spark, raw_paths, tmp_path):
     base = str(tmp_path / "lake")
-    sources = LakeSources(**raw_paths)
+    by_year = {"arrival_partitions": ("year", "month")}
+    sources = LakeSources(**raw_paths, **by_year)
     build_lake(spark, sources, base, tables=["immigration", "airport_codes"])
-    june_only = LakeSources(**{**raw_paths, "arrivals": raw_paths["arrivals"][1:]})
-    build_lake(spark, june_only, base, tables=["immigration"], mode="partitions")
+    june_only = LakeSources(**{**raw_paths, "arrivals": raw_paths["arrivals"][1:]}, **by_year)
+    report = build_lake(spark, june_only, base, tables=["immigration"], mode="partitions")
     fact = open_lake(spark, base, ["immigration"])["immigration"]
     assert rows(fact.groupBy("month").count()) == [(1, 6), (6, 1)]
+    counted = report.where("check_name = 'row_count'").first()
+    assert (counted.violations, counted.rows_checked) == (0, 1)
+
+
+def test_refresh_by_month_alone_is_refused(spark, raw_paths, tmp_path):
+    with pytest.raises(ValueError, match="year"):
+        build_lake(spark, LakeSources(**raw_paths), str(tmp_path / "lake"), mode="partitions")
+
+
+def test_refresh_leaves_other_years(spark, tmp_path):
+    path = str(tmp_path / "t")
+    years = spark.createDataFrame([(2016, 3, 1), (2016, 4, 2), (2017, 3, 3)], "year int, month int, n int")
+    write_table(years, path, ["year", "month"])
+    write_table(years.where("year = 2017").withColumn("n", F.lit(9)), path, ["year", "month"], mode="partitions")
+    found = spark.read.parquet(path).select("year", "month", "n")
+    assert rows(found) == [(2016, 3, 1), (2016, 4, 2), (2017, 3, 9)]
+
+
+def test_an_empty_list_of_tables_writes_nothing(spark, raw_paths, tmp_path):
+    base = tmp_path / "lake"
+    assert build_lake(spark, LakeSources(**raw_paths), str(base), tables=[]).count() == 0
+    assert not base.exists()
+    assert open_lake(spark, str(base), []) == {}
 
 
 def test_repeated_dimension_keys_are_reported(spark, raw_paths, tmp_path):

@@ -1,67 +1,36 @@
 from __future__ import annotations
 
-import pytest
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import plan_of, rows
-from landfall.operators import distinct_rows, distinct_rows_few_copies
+from landfall.operators import distinct_rows
 
-FEW = settings(
-    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
-)
-VALUES = [None, 0.0, -0.0, 1.5, float("nan")]
-RECORDS = st.lists(
-    st.tuples(st.sampled_from([None, 1, 2]), st.sampled_from(VALUES), st.sampled_from([None, "", "a"])),
-    max_size=14,
-)
 
-
-def values(df):
-    """Rows with both zeros written alike; they are one value to Spark."""
-    return rows(df.withColumn("d", F.col("d") + F.lit(0.0)))
+def test_both_zeros_and_all_nans_are_one_value(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (-float("nan"),)], "d double")
+    assert distinct_rows(df).count() == 2
 
 
-@FEW
-@given(RECORDS)
-def test_both_ways_agree(spark, records):
-    df = spark.createDataFrame(records, "n int, d double, s string")
-    assert values(distinct_rows_few_copies(df)) == values(distinct_rows(df))
-    assert values(distinct_rows_few_copies(df, max_shared=1)) == values(distinct_rows(df))
+def test_missing_and_empty_are_different(spark):
+    df = spark.createDataFrame([(None, ""), (None, ""), ("", None), ("a", "")], "a string, b string")
+    assert distinct_rows(df).count() == 3
 
 
-def test_both_zeros_and_all_nans_share_a_fingerprint(spark):
-    df = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (-float("nan"),)], "d double")
-    assert distinct_rows_few_copies(df).count() == distinct_rows(df).count() == 2
+def test_texts_are_compared_by_their_collation(spark):
+    df = spark.createDataFrame([("A",), ("a",), ("b",), ("b",)], "s string")
+    folded = df.select(F.collate("s", "UTF8_LCASE").alias("s"))
+    assert distinct_rows(folded).count() == 2
+    assert rows(distinct_rows(df)) == [("A",), ("a",), ("b",)]
 
 
-@pytest.fixture
-def third_is_one_row(spark):
-    return spark.range(0, 30000, 1, 6).select(
+def test_a_third_of_all_rows_is_one_row(spark):
+    third = spark.range(0, 30000, 1, 6).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("a"),
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("b"),
     )
-
-
-def test_a_third_of_all_rows_is_one_row(third_is_one_row):
-    found = distinct_rows_few_copies(third_is_one_row)
+    found = distinct_rows(third)
     assert found.count() == 20001
     assert found.where("b = 'hot'").count() == 1
     # Hot copies meet in their own map task before anything moves.
     plan = plan_of(found)
     assert "HashAggregate" in plan[plan.index("Exchange hashpartitioning") :]
-
-
-def test_rows_without_a_partner_are_not_shuffled(spark, third_is_one_row):
-    once = third_is_one_row.where("b <> 'hot'")
-    assert "Exchange" not in plan_of(distinct_rows_few_copies(once))
-
-
-def test_too_many_shared_fingerprints_to_broadcast(spark):
-    df = spark.range(1000).union(spark.range(1000)).select("id", F.lit("x").alias("s"))
-    plan = plan_of(distinct_rows_few_copies(df, max_shared=999))
-    assert "Broadcast" not in plan
-    assert distinct_rows_few_copies(df, max_shared=999).count() == 1000
-    assert "BroadcastHashJoin" in plan_of(distinct_rows_few_copies(df, max_shared=1000))
-    assert distinct_rows_few_copies(df, max_shared=1000).count() == 1000

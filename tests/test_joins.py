@@ -44,7 +44,7 @@ def code_map(spark, entries):
 def test_decode_keeps_unknown_and_missing_codes(spark):
     df = spark.createDataFrame([(1, "NY"), (2, "??"), (3, None)], "id int, code string")
     decoded = decode(df, "code", code_map(spark, raw_data.ADDRESS_CODES), "name")
-    assert rows(decoded) == [(1, "NY", "NEW YORK"), (2, "??", None), (3, None, None)]
+    assert rows(decoded) == [(1, "NY", "NEW YARD"), (2, "??", None), (3, None, None)]
 
 
 def test_decode_numbers_against_text_keys(spark):
@@ -52,7 +52,7 @@ def test_decode_numbers_against_text_keys(spark):
     for kind in ("double", "int", "bigint", "float", "decimal(5,1)", "string"):
         df = spark.sql(f"SELECT CAST('2' AS {kind}) AS v UNION ALL SELECT CAST('9' AS {kind})")
         names = {row.name for row in decode(df, "v", codes, "name").collect()}
-        assert names == {"Pleasure", None}
+        assert names == {"Leisure", None}
 
 
 def test_decode_does_not_match_fractions(spark):
@@ -64,7 +64,7 @@ def test_placeholders(spark):
     df = spark.createDataFrame([(code,) for code in [*raw_data.PORT_CODES, "???"]], "code string")
     codes = code_map(spark, raw_data.PORT_CODES)
     flagged = decode(df, "code", codes, "name", "placeholder").where("placeholder").collect()
-    assert {row.code for row in flagged} == {"XXX", "FRG", "060", ".GA", "IWA"}
+    assert {row.code for row in flagged} == {"ZZZ", "QFG", "071", ".QB", "QIW"}
 
 
 def test_small_code_map_is_broadcast_by_spark(spark, lake):
@@ -106,6 +106,38 @@ def test_hot_key_is_split_when_both_sides_are_large(spark, settings):
     assert joined.where("name IS NOT NULL").count() == 60000
 
 
+def test_two_joins_on_one_hot_key_are_both_split(spark, settings):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="32k",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2.0",
+        spark__sql__adaptive__forceOptimizeSkewedJoin="true",
+        spark__sql__shuffle__partitions="16",
+    )
+    # A third of the facts has one code, and their rows meet a NULL city in the third join.
+    fact = spark.range(0, 60000, 1, 8).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("K"), F.col("id") % 997)).alias("airport_code"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    codes = spark.range(997).select(
+        F.concat(F.lit("K"), F.col("id")).alias("key"), F.col("id").cast("string").alias("value")
+    ).union(spark.sql("SELECT 'HOT', 'hot'"))
+    airports = codes.select(F.col("key").alias("airport_code"), F.nullif("value", F.lit("hot")).alias("municipality"))
+    cities = spark.range(997).select(F.col("id").cast("string").alias("city"), "id")
+    decoded = decode(fact, "airport_code", codes, "name")
+    located = enrich_airport(decoded, airports)
+    both = final_plan_of(located)
+    assert both[: both.index("== Initial Plan ==")].count("SortMergeJoin(skew=true)") == 2
+    peopled = left_lookup(located, cities.withColumnRenamed("id", "people"), [("municipality", "city")])
+    three = final_plan_of(peopled)
+    assert three[: three.index("== Initial Plan ==")].count("SortMergeJoin(skew=true)") == 3
+    assert peopled.count() == 60000 and peopled.where("people IS NULL").count() == 20000
+
+
 def test_lookup_on_two_keys_and_fan_out(spark):
     left = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n int")
     right = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 1, "z")], "k string, n int, v string")
@@ -122,8 +154,8 @@ def test_coverage(spark, lake):
         (7, 5, 2)
     ]
     assert rows(unmatched_keys(lake["immigration"], lake["airport_codes"], ("airport_code", "airport_code"))) == [
-        ("LOS", 1),
-        ("XXX", 1),
+        ("LAQ", 1),
+        ("ZZZ", 1),
     ]
     nobody = lake["immigration"].limit(0)
     assert rows(key_coverage(nobody, lake["airport_codes"], ("airport_code", "airport_code"))) == [(0, 0, 0)]
@@ -145,11 +177,11 @@ def test_edges(lake):
     airports, cities, weather = lake["airport_codes"], lake["demographics"], lake["temperature"]
     assert enrich_airport(lake["immigration"], airports).count() == 7
     by_state = {r.airport_code: r.population for r in airport_demographics(airports, cities).collect()}
-    assert by_state == {"NYC": 8550405, "SPI": 117809, "SGF": 166000, "WDH": None, "NWH": None, "BHX": None}
+    assert by_state == {"NYQ": 8550405, "SPI": 117809, "SGF": 166000, "WDH": None, "NWH": None, "BHX": None}
     by_city = airport_demographics(airports, cities, match_state=False)
     assert by_city.where("airport_code = 'SPI'").count() == 2
     warm = {r.airport_code: r.avg_temperature for r in airport_temperature(airports, weather).collect()}
-    assert warm["SPI"] == 15.0 and warm["NYC"] == 3.5 and warm["WDH"] is None
+    assert warm["SPI"] == 15.0 and warm["NYQ"] == 3.5 and warm["WDH"] is None
     assert demographics_temperature(cities, weather).where("city = 'Springfield'").count() == 2
     assert rows(temperature_by(weather.where("city = 'New York'"), "year_month")) == [
         ("New York", 2000, 1, 2.5, 1),
@@ -160,15 +192,15 @@ def test_edges(lake):
 def test_snowflake_keeps_every_arrival_once(lake):
     whole = snowflake(lake)
     assert whole.count() == 7
-    january = whole.where("month = 1 AND airport_code = 'NYC' AND stay_duration = 10").first()
-    assert january.address_name == "NEW YORK"
-    assert january.port_name == "NEW YORK, NY"
-    assert january.visa_name == "Pleasure"
+    january = whole.where("month = 1 AND airport_code = 'NYQ' AND stay_duration = 10").first()
+    assert january.address_name == "NEW YARD"
+    assert january.port_name == "NEW YARD, NY"
+    assert january.visa_name == "Leisure"
     assert january.airport_name == "Kennedy, John F."
     assert january.population == 8550405
     assert january.avg_temperature == 3.5
     assert whole.where("month = 6").first().avg_temperature is None
-    unknown = whole.where("airport_code = 'XXX'").first()
+    unknown = whole.where("airport_code = 'ZZZ'").first()
     assert unknown.is_placeholder and unknown.visa_name is None and unknown.airport_name is None
 
 
@@ -184,15 +216,17 @@ def test_snowflake_moves_no_fact_rows_while_dimensions_are_small(lake):
 def test_questions(lake, sources, spark):
     assert [tuple(r) for r in arrivals_by_month(lake["immigration"]).collect()] == [(2016, 1, 6), (2016, 6, 1)]
     ports = [tuple(r) for r in top_ports(lake["immigration"], lake["airport_desc"], 2).collect()]
-    assert ports == [("NYC", 5, "NEW YORK, NY", False), ("LOS", 1, "LOS ANGELES, CA", False)]
-    assert decoded_arrivals(lake).where("visa_name = 'Business'").count() == 1
+    assert ports == [("NYQ", 5, "NEW YARD, NY", False), ("LAQ", 1, "LOWER ARM, CA", False)]
+    assert decoded_arrivals(lake).where("visa_name = 'Work'").count() == 1
     profile = {r.airport_code: r for r in airport_city_profile(lake).collect()}
-    assert profile["NYC"].arrivals == 5 and profile["NYC"].population == 8550405
-    assert profile["XXX"].municipality is None
+    assert profile["NYQ"].arrivals == 5 and profile["NYQ"].population == 8550405
+    assert profile["ZZZ"].municipality is None
     peaks = weather_at_peaks(lake["immigration"], lake["airport_codes"], lake["temperature"], k=5)
     assert [tuple(r) for r in peaks.collect()] == [
-        ("New York", 1, 4, 3.5, 2),
-        ("New York", 6, 1, None, None),
+        ("NYQ", 1, 4, "New York", 3.5, 2),
+        ("LAQ", 1, 1, None, None, None),
+        ("NYQ", 6, 1, "New York", None, None),
+        ("ZZZ", 1, 1, None, None, None),
     ]
     with pytest.raises(ValueError, match="arrival_date"):
         weather_at_peaks(lake["immigration"], lake["airport_codes"], lake["temperature"], grain="day")
@@ -213,6 +247,12 @@ def test_stay_statistics(spark):
     ]
 
 
+def test_stay_statistics_skip_nan_and_take_fractions(spark):
+    stays = [("a", 1.5), ("a", float("nan")), ("a", 2.25), ("a", 2.25), ("a", 9.0), ("b", float("nan"))]
+    df = spark.createDataFrame(stays, "k string, stay_duration double")
+    assert rows(stay_stats(df, ["k"])) == [("a", 3.75, 2.25, 1.5, 9.0, 4), ("b", None, None, None, None, 0)]
+
+
 def test_top_k_never_sorts_the_whole_table(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "k string")
     assert [tuple(r) for r in top_k(df, ["k"], 2).collect()] == [("c", 2), ("a", 1)]

@@ -8,6 +8,7 @@ from landfall.operators import (
     QualityError,
     StepCounter,
     at_least_two,
+    check_columns,
     check_min_distinct,
     check_not_empty,
     check_not_null,
@@ -27,6 +28,7 @@ from landfall.operators import (
 )
 
 NAN = float("nan")
+from landfall.sinks import write_table
 
 
 @pytest.fixture
@@ -65,6 +67,28 @@ def test_distinct_values_are_really_checked(people, at_least):
     assert check_min_distinct(people, ["name"], at_least).first().passed is (at_least == 2)
 
 
+def test_nan_is_no_value_in_any_check(spark, tmp_path):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
+    one = df.where("x = 1 OR isnan(x)")
+    assert not check_min_distinct(df, ["x"], 3).first().passed
+    assert not check_min_distinct(one, ["x"]).first().passed
+    checks = [at_least_two("x"), *no_nulls(one, ["x"]), *rules({"positive": "x > 0", "open": "x IS NULL OR x > 0"})]
+    loose = write_table(one, str(tmp_path / "t"), checks=checks).checks
+    strict = [(r.check_name, r.target, r.violations) for r in run_checks(one, checks).collect()]
+    assert loose == strict == [("min_distinct", "x", 1), ("not_null", "x", 1), ("rule", "positive", 1), ("rule", "open", 0)]
+    assert rows(spark.read.parquet(str(tmp_path / "t"))) == rows(one)
+
+
+def test_distinct_counts_of_all_columns_share_one_scan(people):
+    plan = plan_of(check_min_distinct(people, ["name", "total", "part"], 3))
+    assert plan.count("Scan") == 1
+
+
+def test_columns_with_their_rows(people):
+    found = {r.column_name: r for r in check_columns(people, people.schema).collect()}
+    assert (found["part"].passed, found["part"].row_count, found["part"].null_count) == (True, 4, 2)
+
+
 def test_not_null_counts_nan(people):
     found = {r.target: r.violations for r in check_not_null(people, ["part", "name", "total"]).collect()}
     assert found == {"part": 2, "name": 1, "total": 0}
