@@ -22,6 +22,7 @@ from landfall.plans.questions import (
 from landfall.plans.edges import (
     airport_demographics,
     airport_temperature,
+    city_places,
     demographics_temperature,
     enrich_airport,
     snowflake,
@@ -37,6 +38,7 @@ __all__ = [
     "arrival_checks",
     "arrivals_by_month",
     "build_lake",
+    "city_places",
     "code_map_checks",
     "conform_airports",
     "conform_arrivals",

@@ -31,6 +31,15 @@ def temperature_by(
     )
 
 
+def city_places(temperature: DataFrame) -> DataFrame:
+    """Distinct places behind each city name. Where there are several, the averages of
+    `temperature_by` blend cities that share a name."""
+    place = F.struct("latitude", "longitude")
+    return temperature.groupBy("city").agg(
+        F.count_distinct(place).alias("places"), F.count(F.lit(1)).alias("readings")
+    )
+
+
 def enrich_airport(arrivals: DataFrame, airports: DataFrame) -> DataFrame:
     """Arrivals with their airport's columns, by airport code.
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landfall.operators import run_checks
-from landfall.plans import conform
+from landfall.operators import StepCounter, run_checks
+from landfall.plans import conform, edges
+from landfall.sinks import write_table
 from landfall.workloads import frames
-from landfall.workloads.registry import query
+from landfall.workloads.registry import query, scratch
 
 _CONFORMED_ARRIVALS = f"""
 with {frames.RAW_ARRIVALS},
@@ -71,6 +72,37 @@ def conform_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+with {frames.RAW_TEMPERATURE}
+select city, count(distinct (latitude, longitude)) as places, count(*) as readings
+from raw_temperature
+where avg_temperature is not null and avg_temperature_uncert is not null
+  and country = 'United States' and dt >= '2024-01-10'
+group by city""")
+def city_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places that share a city name, over the conformed temperatures."""
+    return edges.city_places(
+        conform.conform_temperature(frames.raw_temperature(spark, sf_dir), from_day="2024-01-10")
+    )
+
+
+@query(f"""
+with {frames.RAW_ARRIVALS}, once as (select distinct * from raw_arrivals),
+air as (select * from once where i94mode = 1)
+select 'read' as step, count(*) as n from raw_arrivals
+union all select 'distinct', count(*) from once
+union all select 'by_air', count(*) from air
+union all select 'complete', count(*) from air
+  where i94yr is not null and i94mon is not null and i94port is not null
+    and arrdate is not null and i94bir is not null""")
+def arrival_step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows after each step of the fact dataflow, counted while its result is written."""
+    counter = StepCounter()
+    facts = conform.conform_arrivals(frames.raw_arrivals(spark, sf_dir), counter=counter)
+    write_table(facts, scratch(spark, "facts_counted"), ["month"])
+    return spark.createDataFrame(list(counter.counts().items()), "step string, n bigint")
+
+
 @query(CONFORMED_AIRPORTS)
 def conform_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw airports to the airport table."""
