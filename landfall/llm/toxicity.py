@@ -51,8 +51,9 @@ class Settings:
     epochs: int = 6
     rate: float = 0.2
     batch: int = 4096
+    least_steps: int = 60
     toxic_rows: int = 2000
-    clean_rows: int = 4000
+    clean_rows: int = 3000
     longest_text: int = 20_000
     threshold: float = 0.3
     seed: int = 7
@@ -87,7 +88,7 @@ def subwords(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     mixed ^= mixed >> np.uint64(29)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
     mixed ^= mixed >> np.uint64(32)
-    return (mixed % np.uint64(buckets)).astype(np.int64), np.bincount(owners, minlength=len(words))
+    return (mixed % np.uint64(buckets)).astype(np.int32), np.bincount(owners, minlength=len(words))
 
 
 def tokens(text: str) -> list[str]:
@@ -104,17 +105,23 @@ class _Trainer:
         index: dict[str, int] = {}
         word_ids = []
         for text in texts:
-            word_ids.append([index.setdefault(w.strip(MARKS), len(index)) for w in tokens(text)])
-        self.subs, self.counts = subwords(list(index), settings.buckets)
+            ids = [index.setdefault(w.strip(MARKS), len(index)) for w in tokens(text)]
+            word_ids.append(np.array(ids, np.int32))
+        words = list(index)
+        del index
+        parts = [subwords(words[i : i + 10_000], settings.buckets) for i in range(0, len(words), 10_000)]
+        self.subs = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.int32)
+        self.counts = np.concatenate([p[1] for p in parts]) if parts else np.empty(0, np.int64)
+        del words, parts
         self.begin = np.concatenate([[0], np.cumsum(self.counts)])
         half, width = max(1, settings.window // 2), settings.window
         windows, owners = [], []
         for doc, ids in enumerate(word_ids):
-            for at in range(0, max(1, len(ids) - half), half):
-                row = ids[at : at + width]
-                windows.append(row + [-1] * (width - len(row)))
-                owners.append(doc)
-        self.windows, self.owner = np.array(windows, np.int64), np.array(owners, np.int64)
+            starts = np.arange(0, max(1, len(ids) - half), half)
+            padded = np.concatenate([ids, np.full(width, -1, np.int32)])
+            windows.append(padded[starts[:, None] + np.arange(width)])
+            owners.append(np.full(len(starts), doc, np.int32))
+        self.windows, self.owner = np.concatenate(windows), np.concatenate(owners)
         self.common = self._common(word_ids)
         rng = np.random.default_rng(settings.seed)
         self.rng = rng
@@ -124,11 +131,11 @@ class _Trainer:
         self.bias = np.zeros(2, np.float32)
         self.sums = [np.full_like(x, 1e-4) for x in (self.vectors, self.softmax, self.bias)]
 
-    def _common(self, word_ids: list[list[int]]) -> np.ndarray:
+    def _common(self, word_ids: list[np.ndarray]) -> np.ndarray:
         """Buckets that occur in enough texts to say something about others."""
         texts = np.zeros(self.s.buckets, np.int64)
         for ids in word_ids:
-            used = [self.subs[self.begin[i] : self.begin[i + 1]] for i in set(ids)]
+            used = [self.subs[self.begin[i] : self.begin[i + 1]] for i in np.unique(ids)]
             if used:
                 texts[np.unique(np.concatenate(used))] += 1
         return texts >= self.s.min_texts
@@ -150,7 +157,7 @@ class _Trainer:
     def logits(self, rows: np.ndarray) -> np.ndarray:
         """Toxic against not, per window."""
         out = np.empty(len(rows), np.float32)
-        step = 4 * self.s.batch
+        step = self.s.batch
         for at in range(0, len(rows), step):
             where, vectors, *_ = self._gather(rows[at : at + step])
             mean = vectors[where].sum(axis=1) / self.s.window
@@ -205,8 +212,10 @@ class _Trainer:
             share = max(labels[chosen].mean(), 1e-6)
             # Both classes pull alike, however rare toxic windows are.
             balance = np.where(labels == 1, 0.5 / share, 0.5 / (1 - min(share, 1 - 1e-6))).astype(np.float32)
-            for at in range(0, len(chosen), self.s.batch):
-                part = chosen[at : at + self.s.batch]
+            # Small samples are cut finer, so that they get enough steps too.
+            size = min(self.s.batch, max(64, len(chosen) // self.s.least_steps))
+            for at in range(0, len(chosen), size):
+                part = chosen[at : at + size]
                 self._step(self.windows[part], labels[part], balance[part])
 
 
