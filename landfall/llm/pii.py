@@ -12,7 +12,8 @@ name's words are replaced one by one, so "Mr. A B" and "Mr. B" stay the same per
 
 Collision check: the distinct values of the corpus are one table. Values whose surrogates
 are equal, or equal to a value that occurs, take their next surrogate until none collide;
-this keeps different values different. Only the few values that needed it are kept, with
+this keeps different values different. From the third attempt on an address may grow, and
+from the fifth on leave the reserved range, so that there are surrogates for any number. Only the few values that needed it are kept, with
 their number of attempts, and joined to the documents that hold them.
 
 Texts are not shuffled unless that table outgrows what Spark broadcasts by its size.
@@ -151,8 +152,11 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
         labels = F.regexp_replace(domain, r"\.[^.]*$", "")
         domain_seed = F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), domain).cast("binary"), 256)
-        mail = F.concat(_scrambled(local, seed), F.lit("@"), _scrambled(labels, domain_seed), F.lit(".example"))
-        octets = [(_byte(seed, 0) % 15 + 240).cast("string"), *[_byte(seed, i).cast("string") for i in (1, 2, 3)]]
+        # Where a form has too few surrogates for all values, later attempts widen it.
+        wider = F.when(attempt > 1, F.substring(F.translate(seed, "abcdef", "012345"), F.lit(40), attempt)).otherwise("")
+        mail = F.concat(_scrambled(local, seed), wider, F.lit("@"), _scrambled(labels, domain_seed), F.lit(".example"))
+        net = F.when(attempt < 4, _byte(seed, 0) % 15 + 240).otherwise(_byte(seed, 0) % 254 + 1)
+        octets = [net.cast("string"), *[_byte(seed, i).cast("string") for i in (1, 2, 3)]]
         rest = F.substring(some, F.lit(2), n)
         card = F.concat(F.substring(value, 1, 1), F.substring(rest, F.lit(1), n - 2))
         check = bound(F.concat(card, F.lit("0")), lambda c: (10 - _luhn(c)) % 10)
