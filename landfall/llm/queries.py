@@ -10,6 +10,7 @@ from landfall.llm.common import documents, stored
 from landfall.llm.fingerprint import likeness, successive, text_form
 from landfall.llm.mixing import mix
 from landfall.llm.ngram_join import joined
+from landfall.llm.oracles import MIXING, QUALITY
 from landfall.llm.packing import pack
 from landfall.llm.pii import replace_pii
 from landfall.llm.quality import BASE_RULES, MORE_RULES, cascade, measured, rule_order
@@ -39,7 +40,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(MIXING)
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with what the mix takes of each."""
     return mix(documents(spark, sf_dir)).select(
@@ -47,7 +48,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(QUALITY)
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict for every document."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -55,7 +56,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.expr(" OR ".join(f"({rule.rejects})" for rule in BASE_RULES))
     return cascade(measured(docs), order).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base.alias("base_failed"), F.col("failed_rule").isNull().alias("kept"), "failed_rule",
+        base.alias("base_failed"), F.col("failed_rule").isNull().alias("kept"),
     )
 
 
