@@ -346,7 +346,10 @@ def joined(docs: DataFrame, settings: JoinSettings | None = None) -> DataFrame:
     )
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), text_of().alias("text"))
     texts = texts.withColumn("key", _text_key())
-    picked = texts.join(members, (F.col("id") == F.col("m_id")) & (F.col("key") == F.col("m_key")))
+    # The texts are shuffled at any size: the members grow with the documents.
+    picked = texts.join(
+        members.hint("shuffle_hash"), (F.col("id") == F.col("m_id")) & (F.col("key") == F.col("m_key"))
+    )
     sets = picked.select("component", "p1", "p2", "blocks", "block", "text").mapInArrow(
         _sets(s), "component long, p1 long, p2 long, blocks int, block int, shingles binary, signature binary"
     )
