@@ -25,13 +25,14 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
-        least = least.select(F.col("a").alias("of"), F.least("a", "m").alias("m"))
+        # Written, so that both sides of the join are shuffled and a hub's rows can be split.
+        least = stored(least.select(F.col("a").alias("of"), F.least("a", "m").alias("m")), "least")
         large = (
             both.where("b > a").join(least, F.col("a") == F.col("of"))
             .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         )
         large = stored(large, "large_star")
-        least = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("of"), "m")
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("of"), "m"), "least")
         small = large.join(least, F.col("a") == F.col("of")).select(
             F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
         )
