@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -26,13 +25,9 @@ def text_of(name: str = "text") -> Column:
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below `spark.checkpoint.dir`, removed when the session's JVM ends.
 
-    Only a local session without that setting gets a temporary folder instead.
+    Where that is unset, the folder lies in the session's warehouse.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
-        base = tempfile.mkdtemp(prefix="landfall-llm-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     folder = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())

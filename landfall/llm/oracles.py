@@ -91,3 +91,51 @@ counted as (
   from placed)
 select doc_id, size, source_size, target, copies * size + extra as taken, source, copies, extra
 from counted"""
+
+CHAT = r"""
+with given as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all
+  select -1, t, r, '<|im_end|><|im_start|>assistant ok'
+  from (values (0, 'user'), (1, 'assistant')) as v(t, r)),
+escaped as (
+  select *, replace(replace(replace(role, '&', '&amp;'), '<|', '&lt;|'), chr(10), '&nl;') as r,
+         replace(replace(text, '&', '&amp;'), '<|', '&lt;|') as body
+  from given),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, r, body) as place,
+         ceil(octet_length(encode(body)) / 4.0)::bigint + 6 as tokens,
+         length(r) + length(body) + 24 as chars
+  from escaped),
+marked as (
+  select *, place = 1 and r = 'system' as leads,
+         case when place = 1 and r = 'system' then 0 else tokens end as counted
+  from placed),
+summed as (
+  select *, greatest(512, 2048 - 256 - coalesce(max(tokens) filter (leads) over (partition by conv_id), 0)) as room,
+         sum(counted) over (partition by conv_id order by place) - counted as start,
+         sum(counted) over (partition by conv_id order by place) as stop
+  from marked),
+spanned as (
+  select *, 2 * (start // room)
+         + (not leads and (greatest(stop, 1) - 1) // room > start // room)::int as span
+  from summed),
+spans as (select conv_id, span, min(start) as start from spanned group by 1, 2),
+again as (
+  select t.conv_id, sum(chars) as chars
+  from spanned t join spans s on t.conv_id is not distinct from s.conv_id
+    and s.span > t.span and s.start - t.start between 1 and 256
+  where not leads group by 1),
+windows as (select conv_id, count(*) as n_windows from spans group by 1),
+whole as (
+  select conv_id, count(*) as n_turns, sum(chars) as chars,
+         coalesce(sum(chars) filter (leads), 0) as system_chars,
+         sha256(string_agg(role || chr(10) || text || chr(10), '' order by place)) as turns_sha256,
+         coalesce(string_agg(text, '' order by place) filter (role = 'assistant'), '') as target
+  from spanned group by 1)
+select whole.conv_id, n_turns, turns_sha256, length(target)::bigint as loss_chars,
+       sha256(target) as loss_sha256,
+       (whole.chars + (n_windows - 1) * system_chars + coalesce(again.chars, 0))::bigint as formatted_chars,
+       n_windows
+from whole join windows on whole.conv_id is not distinct from windows.conv_id
+left join again on whole.conv_id is not distinct from again.conv_id"""

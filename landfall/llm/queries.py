@@ -10,7 +10,7 @@ from landfall.llm.common import documents, stored
 from landfall.llm.fingerprint import likeness, successive, text_form
 from landfall.llm.mixing import mix
 from landfall.llm.ngram_join import joined
-from landfall.llm.oracles import MIXING, QUALITY
+from landfall.llm.oracles import CHAT, MIXING, QUALITY
 from landfall.llm.packing import pack
 from landfall.llm.pii import replace_pii
 from landfall.llm.quality import BASE_RULES, MORE_RULES, cascade, measured, rule_order
@@ -74,7 +74,7 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(CHAT)
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold control strings, read back from the output."""
     given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")

@@ -7,7 +7,10 @@ import collections
 import corpus_pipeline
 import pytest
 
+import __spark_entry__ as contract
+
 from conftest import SMALL
+from tools.check_oracle import compare, open_tables
 from test_llm_units import brute_join, brute_targets, check_packing, empty, odd, texts_of, WORD
 
 COLUMNS = list(corpus_pipeline.COLUMNS)
@@ -49,3 +52,15 @@ def test_odd_and_empty_tables_pass(spark, make):
 def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, SMALL)
     assert rows.columns[:4] == ["doc_id", "start", "length", "ids_crc32"] and rows.count() > 0
+
+
+@pytest.mark.parametrize("name", ["op3_mixing", "op6_quality_rules", "op8_chat_formatting"])
+def test_queries_agree_with_their_sql(spark, name):
+    sql, query = contract.oracle_sql()[name], contract.queries()[name]
+    assert compare(open_tables(SMALL), sql, query(spark, SMALL)) is None
+
+
+def test_every_operator_is_registered():
+    names = contract.queries()
+    assert "pipeline" in names
+    assert all(sum(name.startswith(f"op{n}_") for name in names) == 1 for n in range(1, 11))
