@@ -182,9 +182,9 @@ def successive(docs: DataFrame) -> DataFrame:
     found = vectors(both, "fp_key", "fp_text").select(
         "fp_key.fp_key.*", F.col("fp_key.kind").alias("kind"), F.struct("lanes", "signs", "triples").alias("fp")
     )
-    run = Window.partitionBy("fp_run").orderBy("kind", "fp_at")
-    # Texts come before edited texts, so a text's successor is the next row.
-    paired = found.withColumn("next_fp", F.lead("fp").over(run))
-    own = paired.where((F.col("kind") == 0) & ~F.col("guest")).drop("kind", "guest")
-    changed = found.where("kind = 1").select(F.col("fp_run").alias("e_run"), F.col("fp_at").alias("e_at"), F.col("fp").alias("edited_fp"))
-    return own.join(changed, (F.col("fp_run") == F.col("e_run")) & (F.col("fp_at") == F.col("e_at")))
+    # A document's two vectors meet in one row; its successor's is in the next one.
+    of = lambda kind: F.first(F.when(F.col("kind") == kind, F.col("fp")), ignorenulls=True)
+    keys = ["fp_run", "fp_at", "guest", "doc_id", "n_chars", "edited_sha256"]
+    both = found.groupBy(*keys).agg(of(0).alias("fp"), of(1).alias("edited_fp"))
+    run = Window.partitionBy("fp_run").orderBy("fp_at")
+    return both.withColumn("next_fp", F.lead("fp").over(run)).where(~F.col("guest")).drop("guest")
