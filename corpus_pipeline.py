@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns
 the columns of `documents`, but for the last, which returns the pieces of the packed
-sequences. `run` writes each stage's result to the shared folder and reads it again.
+sequences. `run` writes each stage's result to the shared folder and reads it again; what a stage has
+read is freed once its own result is written.
 
 NULL texts, empty tables and extra columns are handled as each operator states.
 """
@@ -14,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm.common import stored
+from landfall.llm.common import discard, stored
 from landfall.llm.mixing import mix, mixed_documents
 from landfall.llm.ngram_join import one_per_class
 from landfall.llm.packing import pack
@@ -75,7 +76,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after the other, from the table `documents`."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        before, docs = docs, stored(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 #: A word: a run of characters other than space, tab, line feed, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole `documents` table."""
@@ -42,9 +45,19 @@ def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     This cuts lineage in a way that survives lost executors, and gives Spark the table's
     true size, so that it broadcasts a small one by itself and never a large one.
     """
-    folder = f"{shared_folder(df.sparkSession, label)}/data"
-    df.write.option("compression", compression).parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    folder = shared_folder(df.sparkSession, label)
+    df.write.option("compression", compression).parquet(f"{folder}/data")
+    table = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/data")
+    _FOLDERS[table] = folder
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Free stored tables that nothing will read again, before the JVM ends."""
+    for table in tables:
+        if folder := _FOLDERS.pop(table, None):
+            path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import stored
+from landfall.llm.common import discard, stored
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -26,17 +26,20 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         # Written, so that both sides of the join are shuffled and a hub's rows can be split.
-        least = stored(least.select(F.col("a").alias("of"), F.least("a", "m").alias("m")), "least")
+        of_large = stored(least.select(F.col("a").alias("of"), F.least("a", "m").alias("m")), "least")
         large = (
-            both.where("b > a").join(least, F.col("a") == F.col("of"))
+            both.where("b > a").join(of_large, F.col("a") == F.col("of"))
             .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         )
         large = stored(large, "large_star")
-        least = stored(large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("of"), "m"), "least")
-        small = large.join(least, F.col("a") == F.col("of")).select(
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        of_small = stored(least.select(F.col("a").alias("of"), "m"), "least")
+        small = large.join(of_small, F.col("a") == F.col("of")).select(
             F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
         )
-        current = stored(small.select("e.a", "e.b").where("a <> b").distinct(), "edges")
+        following = stored(small.select("e.a", "e.b").where("a <> b").distinct(), "edges")
+        discard(current, large, of_large, of_small)
+        current = following
         after = state(current)
         if after == before:
             break

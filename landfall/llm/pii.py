@@ -30,7 +30,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import bound, stored, text_of
+from landfall.llm.common import bound, discard, stored, text_of
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -233,9 +233,11 @@ def resolved(values: DataFrame, key: str, rounds: int = 50) -> DataFrame:
         if bad.isEmpty():
             return current
         marked = current.join(bad.withColumn("again", F.lit(1)), ["kind", "value"], "left")
-        current = stored(
+        following = stored(
             marked.select("kind", "value", (F.col("attempt") + F.coalesce("again", F.lit(0))).alias("attempt")), "pii_values"
         )
+        discard(current, tried, bad)
+        current = following
     raise RuntimeError(f"surrogates still collide after {rounds} rounds")
 
 
