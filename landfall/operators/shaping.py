@@ -76,10 +76,12 @@ def since(df: DataFrame, column: str, day: str | dt.date) -> DataFrame:
     """Rows on or after a day.
 
     Date and timestamp columns are compared with a literal of their own type, which
-    the Parquet scan can use; text is read as an ISO date.
+    the Parquet scan can use. Text has to hold ISO dates (2000-01-31, with or without a
+    time); it is compared as text, which the scan can use too, and also as a date, so that
+    under ANSI a text that is no date raises.
     """
     dtype = type_of(df, column)
     bound = F.lit(str(day)).cast("date")
     if isinstance(dtype, T.StringType):
-        return df.where(F.to_date(named(column)) >= bound)
+        return df.where((named(column) >= str(day)) & (F.to_date(named(column)) >= bound))
     return df.where(named(column) >= bound.cast(dtype))

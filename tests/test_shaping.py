@@ -128,6 +128,15 @@ def test_since_reaches_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(ts" in plan_of(since(spark.read.parquet(path), "ts", "2000-01-01"))
 
 
+def test_since_on_text_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = ["1999-12-31", "2000-01-01", "2000-01-01 10:00:00", "2000-12-09", "2010-01-01", None]
+    spark.createDataFrame([(d,) for d in days], "dt string").write.parquet(path)
+    found = since(spark.read.parquet(path), "dt", "2000-01-01")
+    assert "GreaterThanOrEqual(dt,2000-01-01)" in plan_of(found)
+    assert sorted(r.dt for r in found.collect()) == days[1:5]
+
+
 def test_day_numbers_start_in_1960(spark):
     df = spark.sql("SELECT 20454.0D n UNION ALL SELECT 0.0D UNION ALL SELECT CAST(NULL AS DOUBLE)")
     back = df.select("n", day_number_to_date(F.col("n")).alias("d"))
