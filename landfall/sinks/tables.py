@@ -60,13 +60,13 @@ def write_table(
         df = _layout(df, partition_by)
     seen = Observation()
     counters = [check.violations.alias(f"v{i}") for i, check in enumerate(checks)]
-    whole = df.withColumn(_WRITTEN, F.struct(*[named(name) for name in df.columns]))
-    watched = nan_as_null(whole).observe(seen, F.count(F.lit(1)).alias("rows"), *counters)
-    writer = (
-        watched.select(f"{_WRITTEN}.*")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", _MODES[mode])
-    )
+    rows = F.count(F.lit(1)).alias("rows")
+    if counters:
+        whole = df.withColumn(_WRITTEN, F.struct(*[named(name) for name in df.columns]))
+        watched = nan_as_null(whole).observe(seen, rows, *counters).select(f"{_WRITTEN}.*")
+    else:
+        watched = df.observe(seen, rows)
+    writer = watched.write.mode("overwrite").option("partitionOverwriteMode", _MODES[mode])
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
