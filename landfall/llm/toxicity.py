@@ -322,7 +322,10 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
         .limit(2 * (s.toxic_rows + s.clean_rows))
         .toArrow()
     )
-    return fit(rows["text"].to_pylist(), rows["toxic"].to_numpy().astype(np.int64), s)
+    texts, toxic = rows["text"].to_pylist(), rows["toxic"].to_numpy().astype(np.int64)
+    del rows
+    pa.default_memory_pool().release_unused()
+    return fit(texts, toxic, s)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
