@@ -7,10 +7,11 @@
    than 1 in a million, so that passages do not chain texts together. Pairs are not listed:
    the members of a bucket are chained to its least member, and the components of these
    chains hold all candidates.
-3. Components are cut into blocks of a bounded number of sets, and each two blocks (or one
-   with itself) are compared in one task. There the first 160 values of all pairs are compared
-   step by step; after each step, pairs whose posterior probability of reaching the threshold
-   is below the tolerance are dropped. With an even prior that probability is a binomial sum.
+3. Components are cut into blocks of a bounded number of sets and of shingles, and each two
+   blocks (or one with itself) are compared in one task. There the first 160 values of all
+   pairs are compared step by step; after each step, pairs whose posterior probability of
+   reaching the threshold is below the tolerance are dropped. With an even prior that
+   probability is a binomial sum.
 4. What is left is verified exactly on the shingle sets.
 
 A task returns each set's number of links and the root of its part of the link graph, never
@@ -53,6 +54,7 @@ class JoinSettings:
     step: int = 16
     tolerance: float = 1e-6
     block_sets: int = 1024
+    block_shingles: int = 1 << 19
     seed: int = 11
 
     @property
@@ -331,8 +333,8 @@ def joined(docs: DataFrame, settings: JoinSettings | None = None) -> DataFrame:
     with_words = signed.where("n > 0")
     first = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "key")
     classes = stored(
-        with_words.groupBy("p1", "p2").agg(F.min(F.struct(first.alias("first"), "bands")).alias("m"), F.count(F.lit(1)).alias("n_copies"))
-        .select("p1", "p2", "m.first", "m.bands", "n_copies"),
+        with_words.groupBy("p1", "p2").agg(F.min(F.struct(first.alias("first"), "bands", "n")).alias("m"), F.count(F.lit(1)).alias("n_copies"))
+        .select("p1", "p2", "m.first", "m.bands", "m.n", "n_copies"),
         "ngram_classes",
     )
     banded = classes.select("p1", F.explode("bands").alias("band"))
@@ -342,11 +344,12 @@ def joined(docs: DataFrame, settings: JoinSettings | None = None) -> DataFrame:
     )
     chains = banded.join(buckets, "band").select(F.col("p1").alias("a"), F.col("least").alias("b"))
     candidates = stored(components(chains), "ngram_candidates")
-    sizes = candidates.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / s.block_sets).cast("int").alias("blocks"))
+    nodes = candidates.join(classes.select(F.col("p1").alias("node"), "p2", "first", "n"), "node")
+    needed = F.greatest(F.count(F.lit(1)) / s.block_sets, F.sum("n") / s.block_shingles)
+    sizes = nodes.groupBy("component").agg(F.ceil(needed).cast("int").alias("blocks"))
     members = stored(
-        candidates.join(sizes, "component").join(classes.select(F.col("p1").alias("node"), "p2", "first"), "node")
-        .select(
-            "component", F.col("node").alias("p1"), "p2", "blocks",
+        nodes.join(sizes, "component").select(
+            "component", F.col("node").alias("p1"), "p2", "n", "blocks",
             F.pmod(F.xxhash64("node", "p2"), F.col("blocks")).cast("int").alias("block"),
             F.col("first.id").alias("m_id"), F.col("first.key").alias("m_key"),
         ),
@@ -362,7 +365,8 @@ def joined(docs: DataFrame, settings: JoinSettings | None = None) -> DataFrame:
         _sets(s), "component long, p1 long, p2 long, blocks int, block int, shingles binary, signature binary"
     )
     # Components of one block share batches; two blocks of a larger one are a unit each.
-    batches = max(1, members.count() // (s.block_sets // 2))
+    total = members.agg(F.sum("n")).first()[0] or 0
+    batches = max(1, 2 * total // s.block_shingles)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     units = sets.withColumn("other", other).select(
         F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(batches))).otherwise(F.col("component")).alias("unit"),
@@ -378,7 +382,7 @@ def joined(docs: DataFrame, settings: JoinSettings | None = None) -> DataFrame:
     parts = components(found.select(node.alias("a"), F.struct(F.col("root1").alias("p1"), F.col("root2").alias("p2")).alias("b")))
     links = found.groupBy("p1", "p2").agg(F.sum("links").alias("n_links"))
     named = (
-        classes.drop("bands")
+        classes.drop("bands", "n")
         .join(links, ["p1", "p2"], "left")
         .join(parts.select("node.p1", "node.p2", "component"), ["p1", "p2"], "left")
         .withColumn("component", F.coalesce("component", node))

@@ -155,9 +155,9 @@ def near_group(n, seed=2):
 def test_join_agrees_with_brute_force_over_blocks(spark):
     texts = [*near_group(70), *near_group(3, seed=9), "a b c", "a b  c", "", None, "  ", *[f"unrelated text number {i} of its own" for i in range(9)]]
     docs = frame(spark, texts)
-    settings = ngram_join.JoinSettings(block_sets=16)
-    found = {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in ngram_join.joined(docs, settings).collect()}
-    assert found == brute_join(list(enumerate(texts)))
+    for settings in (ngram_join.JoinSettings(block_sets=16), ngram_join.JoinSettings(block_shingles=900)):
+        found = {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in ngram_join.joined(docs, settings).collect()}
+        assert found == brute_join(list(enumerate(texts)))
 
 
 def test_join_on_given_documents(spark):
