@@ -1,15 +1,14 @@
 """Homomorphic multiset hash of documents: the sum of wide vectors hashed from paragraphs.
 
 A paragraph (a line) hashes to a vector of two parts. Eight lanes modulo 2^32 are its own
-hash under four keys; their sums tell multisets of paragraphs apart. Sixty lanes modulo
-2^20 hold one bit each of the hashes of its word triples, added up; taken as 2 * sum -
+hash under four keys; their sums tell multisets of paragraphs apart. Sixty lanes of 32
+bits hold one bit each of the hashes of its word triples, added up; taken as 2 * sum -
 number, they are a sum of random signs, so the cosine of two sums estimates the likeness of
 the texts at any length. Because a document's vector is a plain sum, order does not matter,
 and a paragraph is put in or taken out by adding or subtracting its vector (`combined`).
 
-Three 20-bit lanes travel in one 64-bit sum: adding a bit to each cannot carry into the next
-lane below 1,048,576 triples of a document; beyond that a carry changes a likeness a little,
-and a sum that leaves 64 bits (8 million triples) counts as 0. Equality is not touched.
+Two 32-bit lanes travel in one 64-bit sum. A text has at most 2^31 bytes and so fewer than
+2^30 triples: adding a bit to each lane neither carries into the next one nor leaves 64 bits.
 The sums are ordinary partial aggregates: a document's rows are added up in the task that
 reads it, and one row per document is shuffled.
 
@@ -28,12 +27,12 @@ from pyspark.sql import functions as F
 from landfall.llm.common import bound, stored, text_of
 from landfall.llm.quality import SPACE, SPACES
 
-#: Keys of the hash lanes; 64-bit sums, each with lanes at three places 20 bits apart.
+#: Keys of the hash lanes; 64-bit sums, each with lanes at two places 32 bits apart.
 KEYS = (11, 23, 37, 53)
-SIGN_SUMS = 20
-PLACES = (0, 20, 40)
+SIGN_SUMS = 30
+PLACES = (0, 32)
 LANE_MASK = sum(1 << place for place in PLACES)
-FIELD = (1 << 20) - 1
+FIELD = (1 << 32) - 1
 
 
 def _triples(paragraph: Column) -> Column:
@@ -53,7 +52,7 @@ def _triples(paragraph: Column) -> Column:
 
 
 def vectors(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per key: eight hash sums, twenty sign sums and the number of triples."""
+    """One row per key: eight hash sums, thirty sign sums and the number of triples."""
     paragraphs = texts.select(key, F.explode(F.split(F.col(text), "\n")).alias("fp_paragraph"))
     hashed = paragraphs.select(
         key,
@@ -67,7 +66,7 @@ def vectors(texts: DataFrame, key: str, text: str) -> DataFrame:
         low, high = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32)
         lanes += [(F.sum(low) % (1 << 32)).alias(f"fp_l{2 * i}"), (F.sum(high) % (1 << 32)).alias(f"fp_l{2 * i + 1}")]
     signs = [
-        F.try_sum(F.shiftrightunsigned("fp_triple", j).bitwiseAND(F.lit(LANE_MASK))).alias(f"fp_s{j}")
+        F.sum(F.shiftrightunsigned("fp_triple", j).bitwiseAND(F.lit(LANE_MASK))).alias(f"fp_s{j}")
         for j in range(SIGN_SUMS)
     ]
     summed = hashed.groupBy(key).agg(*lanes, *signs, F.count("fp_triple").alias("fp_n"))

@@ -451,6 +451,15 @@ def test_paragraphs_are_a_multiset(spark):
     assert set(r.zero.lanes) == {0} and set(r.zero.signs) == {0} and r.zero.triples == 0
 
 
+def test_unrelated_texts_of_three_million_words_are_unlike(spark):
+    texts = ["\n".join(" ".join(f"{letter}{i}" for i in range(at, at + 1000)) for at in range(0, 3_000_000, 1000)) for letter in "ab"]
+    fps = fingerprint.vectors(frame(spark, texts).select("doc_id", "text"), "doc_id", "text")
+    fp = F.struct("lanes", "signs", "triples")
+    paired = fps.where("doc_id = 0").select(fp.alias("a")).crossJoin(fps.where("doc_id = 1").select(fp.alias("b")))
+    r = paired.select(F.col("a.triples").alias("n"), fingerprint.likeness(F.col("a"), F.col("b")).alias("x")).first()
+    assert r.n == 3000 * 998 and r.x < 0.5
+
+
 # --- chat ---------------------------------------------------------------------
 
 
