@@ -79,19 +79,62 @@ def token_streams(docs: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
     )
 
 
+def _record_ids(ids: int, most: int) -> int:
+    """The largest divisor of `ids` that is at most `most`."""
+    return max(d for d in range(1, min(ids, most) + 1) if ids % d == 0)
+
+
+def _blocks_of(stream: str, record: int, size: int):
+    """Records (number, bytes) of a split, joined into blocks cut at multiples of `size` bytes.
+
+    A split that begins inside a block has the odd number, what comes before it the even one.
+    """
+
+    def run(records: Iterator[tuple[int, bytes]]) -> Iterator[tuple[str, int, bytearray]]:
+        held, begin = bytearray(), 0
+        for number, data in records:
+            if not held:
+                begin = number * record
+            held += data
+            while len(held) >= size - begin % size:
+                cut = size - begin % size
+                yield stream, begin // size * 2 + (begin % size > 0), held[:cut]
+                held, begin = held[cut:], begin + cut
+        if held:
+            yield stream, begin // size * 2 + (begin % size > 0), held
+
+    return run
+
+
 def read_token_files(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Blocks of flat token files: the stream is the file's path.
+    """Blocks of flat token files of any length: the stream is the file's path.
 
-    Spark reads a file as one value, so files should stay below some 100 MB each.
+    Only paths and lengths are listed; the files are read in splits, as records of equal
+    length. Records must tile their file, so their length is its largest divisor up to a block;
+    where that is small, reading is slower, down to one id at a time. A file of an odd number of
+    bytes is refused.
     """
     size = 2 * block_ids
-    files = spark.read.format("binaryFile").load(path).where("length > 0")
-    numbers = F.sequence(F.lit(0), F.expr(f"int((length - 1) div {size})"))
-    return files.select(F.col("path").alias("stream"), "content", F.explode(numbers).alias("block")).select(
-        "stream",
-        F.col("block").cast("long").alias("block"),
-        F.expr(f"substring(content, block * {size} + 1, {size})").alias("data"),
-    )
+    files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "length").collect()
+    parts = []
+    for name, length in files:
+        if length % 2:
+            raise ValueError(f"{name} has an odd number of bytes")
+        record = 2 * _record_ids(length // 2, block_ids)
+        records = spark.sparkContext.newAPIHadoopFile(
+            name,
+            "org.apache.spark.input.FixedLengthBinaryInputFormat",
+            "org.apache.hadoop.io.LongWritable",
+            "org.apache.hadoop.io.BytesWritable",
+            conf={
+                "org.apache.spark.input.FixedLengthBinaryInputFormat.recordLength": str(record),
+                # No block holds more than one border of splits.
+                "mapreduce.input.fileinputformat.split.minsize": str(2 * size),
+            },
+        )
+        parts.append(records.mapPartitions(_blocks_of(name, record, size)))
+    rows = spark.sparkContext.union(parts) if parts else spark.sparkContext.emptyRDD()
+    return spark.createDataFrame(rows, "stream string, block long, data binary")
 
 
 def _search(separator: int):

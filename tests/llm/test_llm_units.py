@@ -351,6 +351,18 @@ def test_scan_counts_what_was_written(spark, tmp_path, block_ids):
     assert found == {"whole.bin": wanted, "open.bin": wanted | {8: (3, False)}}
 
 
+def test_token_files_are_read_in_splits(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    flat = rng.integers(0, 50_257, 40_000_000).astype("<u2")
+    flat[-1] = 50256
+    flat.tofile(tmp_path / "long.bin")
+    blocks = token_scan.read_token_files(spark, str(tmp_path))
+    assert blocks.rdd.getNumPartitions() > 1 and "content" not in plan_of(blocks)
+    rows = token_scan.separator_scan(blocks).collect()
+    assert len({r.number for r in rows}) == len(rows)
+    assert [r.n_tokens for r in sorted(rows, key=lambda r: r.number)] == (np.diff(np.flatnonzero(flat == 50256), prepend=-1) - 1).tolist()
+
+
 def test_scan_of_documents_and_odd_blocks(spark):
     encode = encoder(ordinary=True)
     for docs in (small(spark), odd(spark)):
