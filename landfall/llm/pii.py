@@ -1,7 +1,7 @@
 """Personal data replaced by surrogates of the same kind.
 
 Found are e-mail addresses, IPv4 addresses, card and social security numbers, telephone
-numbers, and names behind a form of address. Each value, in a canonical form (lower case, or
+numbers (compact ones too), and names behind a form of address. Each value, in a canonical form (lower case, or
 digits only), gives a surrogate by a keyed hash, so a value has one surrogate everywhere in
 the corpus, however it is written, and the writing (separators, case, country code, form of
 address) stays as it was. Surrogates keep the kind: addresses from the reserved range
@@ -40,13 +40,20 @@ IP = rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[0-9])"
 CARD = r"(?<![0-9A-Za-z])(?:[0-9]{16}|[2-6][0-9]{12,18}|[2-6][0-9]{3}(?:[ -][0-9]{4}){3}|3[0-9]{3}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"
+# A telephone number behind a plus has 8 to 15 digits, compact or in groups of any size. Within a
+# country there are groups of two to eight digits, or ten digits in one.
+E164 = r"(?<![0-9A-Za-z+])\+(?:[0-9]{8,15}|[0-9](?:[ .()-]{0,2}[0-9]){7,14})(?![0-9])"
+NATIONAL = (
+    r"(?<![0-9A-Za-z.+-])(?:\([0-9]{2,5}\)[ .-]?[0-9]{5,8}|0[0-9](?:[ .-][0-9]{2}){4}|0[1-9][0-9]{1,3}[ ./-][0-9]{5,8}"
+    r"|[2-9][0-9]{2}[ .-][0-9]{7}|0[1-9][0-9]{8,10}|[2-9][0-9]{2}[2-9][0-9]{6})(?![0-9A-Za-z]|[.-][0-9])"
+)
 # Forms of address by the gender they tell.
 MALE = ("Mr", "Herr", "Señor", "Monsieur", "г-н")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "г-жа")
 NEUTRAL = ("Dr", "Prof")
 _FORM = rf"(?<!\p{{L}})(?:{'|'.join((*FEMALE, *MALE, *NEUTRAL))})\.?"
 NAME = rf"{_FORM} +\p{{Lu}}\p{{Ll}}+(?: +\p{{Lu}}\p{{Ll}}+)?"
-PATTERN = "|".join((EMAIL, IP, CARD, SSN, PHONE, NAME))
+PATTERN = "|".join((EMAIL, IP, CARD, SSN, PHONE, E164, NATIONAL, NAME))
 
 #: Syllables of invented names by script, and endings by gender.
 SYLLABLES = {

@@ -566,6 +566,22 @@ def test_kinds_keep_their_form(spark):
     assert out[7] == texts[7]
 
 
+PHONES = [
+    "+14155550123", "4155550123", "+1(415)5550123", "+442071838750", "+33 6 12 34 56 78", "+49 30 12345678", "06 12 34 56 78",
+    "030 12345678", "030/12345678", "(030) 12345678", "03012345678", "415-5550123", "+86 138 0013 8000", "+1-415-555-0123",
+]
+
+
+def test_compact_and_national_phones_are_replaced(spark):
+    kept = ["at 1700000000 s", "on 2020-01-02 12:30", "1,234,567 in 2019", "version 10.2.3"]
+    out = {r.doc_id: r for r in pii.replace_pii(frame(spark, [*[f"call {p}, or not" for p in PHONES], *kept])).collect()}
+    for i, phone in enumerate(PHONES):
+        assert out[i].n_entities == 1 and phone not in out[i].text
+        assert re.sub(r"\d", "0", out[i].text) == re.sub(r"\d", "0", f"call {phone}, or not")
+    assert [out[len(PHONES) + i].text for i in range(len(kept))] == kept
+    assert out[0].text[-18:] == out[1].text[-18:]
+
+
 def test_collisions_are_resolved(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     texts = [f"{a}@d.e and {a}@d.e" for a in letters]
