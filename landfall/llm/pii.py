@@ -1,7 +1,8 @@
 """Personal data replaced by surrogates of the same kind.
 
 Found are e-mail addresses, IPv4 addresses, card and social security numbers, telephone
-numbers (compact ones too), and names behind a form of address. Each value, in a canonical form (lower case, or
+numbers (compact ones too), names of up to four words behind a form of address, and the bare
+words of such a name in the rest of its document. Each value, in a canonical form (lower case, or
 digits only), gives a surrogate by a keyed hash, so a value has one surrogate everywhere in
 the corpus, however it is written, and the writing (separators, case, country code, form of
 address) stays as it was. Surrogates keep the kind: addresses from the reserved range
@@ -52,7 +53,9 @@ MALE = ("Mr", "Herr", "Señor", "Monsieur", "г-н")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "г-жа")
 NEUTRAL = ("Dr", "Prof")
 _FORM = rf"(?<!\p{{L}})(?:{'|'.join((*FEMALE, *MALE, *NEUTRAL))})\.?"
-NAME = rf"{_FORM} +\p{{Lu}}\p{{Ll}}+(?: +\p{{Lu}}\p{{Ll}}+)?"
+_WORD = r"\p{Lu}(?:\p{Ll}+|['’]\p{Lu}\p{Ll}+)(?:['’-]?\p{Lu}\p{Ll}+)*"
+_INITIAL = r"\p{Lu}(?:\.|(?=\x20))"
+NAME = rf"{_FORM} +(?:(?:{_WORD}|{_INITIAL}) +){{0,3}}{_WORD}"
 PATTERN = "|".join((EMAIL, IP, CARD, SSN, PHONE, E164, NATIONAL, NAME))
 
 #: Syllables of invented names by script, and endings by gender.
@@ -188,6 +191,11 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     return bound(seed, made)
 
 
+def _surrogate_of(entity: Column, attempts: Column, key: str) -> Column:
+    tries = F.coalesce(F.try_element_at(attempts, F.concat_ws(":", entity["kind"], entity["value"])), F.lit(0))
+    return surrogate(entity["kind"], entity["value"], tries, key)
+
+
 def _filled(match: Column, digits: Column) -> Column:
     """The match with its last digits replaced by the given ones, in order."""
     kept = F.char_length(_digits(match)) - F.char_length(digits)
@@ -205,8 +213,7 @@ def _rendered(match: Column, attempts: Column, key: str) -> Column:
     """What stands in a text for a match."""
 
     def of(entity: Column) -> Column:
-        tries = F.coalesce(F.try_element_at(attempts, F.concat_ws(":", entity["kind"], entity["value"])), F.lit(0))
-        return surrogate(entity["kind"], entity["value"], tries, key)
+        return _surrogate_of(entity, attempts, key)
 
     def written(found: Column) -> Column:
         first = F.get(found, 0)
@@ -222,6 +229,25 @@ def _rendered(match: Column, attempts: Column, key: str) -> Column:
     return bound(_entities(match), written)
 
 
+def _bare_replaced(part: Column, names: Column, attempts: Column, key: str) -> Column:
+    """(text, n): a part between matches without the words that a name of the document has."""
+    words = F.array_join(F.transform(names, lambda e: e["value"]), "|")
+    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), words, F.lit(r")(?!\p{L})"))
+
+    def of(word: Column) -> Column:
+        return bound(F.get(F.filter(names, lambda e: e["value"] == word), 0), lambda e: _surrogate_of(e, attempts, key))
+
+    def replaced(hits: Column) -> Column:
+        pieces = F.zip_with(
+            F.split(part, pattern, -1), F.transform(hits, of), lambda p, new: F.concat(p, F.coalesce(new, F.lit("")))
+        )
+        return F.struct(
+            F.when(F.size(hits) == 0, part).otherwise(F.array_join(pieces, "")).alias("text"), F.size(hits).alias("n")
+        )
+
+    return bound(F.regexp_extract_all(part, pattern, F.lit(0)), replaced)
+
+
 def _matches(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
@@ -249,7 +275,7 @@ def resolved(values: DataFrame, key: str, rounds: int = 50) -> DataFrame:
 
 
 def replace_pii(docs: DataFrame, key: str = "surrogates-1") -> DataFrame:
-    """Documents with surrogates in their texts, and `n_entities`, the number of matches."""
+    """Documents with surrogates in their texts, and `n_entities`, the number of places replaced."""
     given = docs.select(*[c for c in docs.columns if c in DOCUMENT])
     listed = F.flatten(F.transform(_matches(text_of()), _entities))
     exploded = given.select("doc_id", F.explode(listed).alias("e")).select("doc_id", "e.kind", "e.value")
@@ -274,15 +300,27 @@ def replace_pii(docs: DataFrame, key: str = "surrogates-1") -> DataFrame:
         )
 
     def rewritten(found: Column) -> Column:
-        parts = F.zip_with(
-            F.split("text", PATTERN, -1),
-            F.transform(found, lambda m: _rendered(m, F.col("pii_attempts"), key)),
-            lambda part, new: F.concat(part, F.coalesce(new, F.lit(""))),
+        # An initial alone is too common a word to be looked for.
+        named = F.filter(
+            F.flatten(F.transform(found, _entities)), lambda e: e["kind"].startswith("name_") & e["value"].rlike(r"^\p{L}.*\p{L}$")
         )
-        return F.struct(
-            F.when(F.size(found) == 0, F.col("text")).otherwise(F.array_join(parts, "")).alias("text"),
-            F.size(found).cast("long").alias("n"),
+
+        def cleaned(part: Column, names: Column) -> Column:
+            whole = F.struct(part.alias("text"), F.lit(0).alias("n"))
+            return F.when(F.size(names) == 0, whole).otherwise(_bare_replaced(part, names, F.col("pii_attempts"), key))
+
+        parts = bound(
+            F.array_distinct(named), lambda names: F.transform(F.split("text", PATTERN, -1), lambda p: cleaned(p, names))
         )
+        new = F.transform(found, lambda m: _rendered(m, F.col("pii_attempts"), key))
+
+        def joined(parts: Column) -> Column:
+            texts = F.zip_with(parts, new, lambda part, new: F.concat(part["text"], F.coalesce(new, F.lit(""))))
+            bare = F.aggregate(parts, F.lit(0), lambda n, part: n + part["n"])
+            return F.struct(F.array_join(texts, "").alias("text"), (F.size(found) + bare).cast("long").alias("n"))
+
+        same = F.struct(F.col("text").alias("text"), F.size(found).cast("long").alias("n"))
+        return F.when(F.size(found) == 0, same).otherwise(bound(parts, joined))
 
     done = with_attempts.withColumn("pii", bound(_matches(F.col("text")), rewritten))
     out = {"text": F.col("pii.text"), "n_entities": F.coalesce(F.col("pii.n"), F.lit(0).cast("long"))}

@@ -582,6 +582,22 @@ def test_compact_and_national_phones_are_replaced(spark):
     assert out[0].text[-18:] == out[1].text[-18:]
 
 
+def test_whole_names_and_their_bare_words_are_replaced(spark):
+    texts = [
+        "Mr. John Smith came. Smith left, John's hat and Smithson stayed.", "Mr. Jean-Luc Picard", "Dr. John Q. Public", "Ms. Ana Maria Lopez went",
+        "Mr. O'Brien and O'Brien's dog", "Smith without a form of address", "Mr. Smith I know",
+    ]
+    out = {r.doc_id: r for r in pii.replace_pii(frame(spark, texts)).collect()}
+    first = re.fullmatch(r"Mr. (\w+) (\w+) came. (\w+) left, (\w+)'s hat and Smithson stayed.", out[0].text).groups()
+    assert first[0] == first[3] != "John" and first[1] == first[2] != "Smith" and out[0].n_entities == 3
+    assert re.fullmatch(r"Mr. \w+ \w+", out[1].text) and re.fullmatch(r"Dr. \w+ \w+ \w+", out[2].text)
+    assert re.fullmatch(r"Ms. \w+ \w+ \w+ went", out[3].text)
+    brien = re.fullmatch(r"Mr. (\w+) and (\w+)'s dog", out[4].text).groups()
+    assert brien[0] == brien[1]
+    assert not any(re.search("Jean|Luc|Picard|Public|Ana|Maria|Lopez|Brien", r.text) for r in out.values())
+    assert out[5].text == texts[5] and out[6].text == f"Mr. {first[1]} I know"
+
+
 def test_collisions_are_resolved(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     texts = [f"{a}@d.e and {a}@d.e" for a in letters]
