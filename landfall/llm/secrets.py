@@ -1,7 +1,9 @@
 """Secrets in texts: three fixed patterns, and a battery of randomness tests for the rest.
 
 Candidates of the battery are runs of 20 or more letters, digits and + / _ - that hold a
-digit and a letter. Each gets an encoding by the characters it uses (hexadecimal, base 32,
+letter. A run with characters of both + / and _ - is read in both ways, split at the one pair
+and at the other, and the parts of 20 or more are tested; a find inside a longer one is left
+out. Each gets an encoding by the characters it uses (hexadecimal, base 32,
 base 36 in one case, base 64). Three tests ask whether it looks drawn evenly from that
 alphabet: chi-squared of the character counts, the number of runs of low and high halves of
 the alphabet, and the correlation of neighbours. Fisher's method combines the three p-values;
@@ -38,6 +40,8 @@ ASSIGN_LENGTH = 12
 KINDS = ("assign", "access", "hex", "random")
 
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
+#: Both readings of a run that mixes + / with _ -.
+READINGS = (r"[A-Za-z0-9_-]{20,}", r"[A-Za-z0-9+/]{20,}")
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 DIGITS = "0123456789"
 #: Alphabets by encoding, each with the pattern of what belongs to it; the first that fits.
@@ -104,6 +108,32 @@ def _spans(text: Column, pattern: str, keep=None) -> Column:
     )
 
 
+def _readings(candidate: Column) -> Column:
+    """A candidate, or the parts of one that no encoding has."""
+
+    def parts(pattern: str) -> Column:
+        return F.transform(
+            _spans(candidate["match"], pattern),
+            lambda x: F.struct(
+                (candidate["start"] + x["start"]).alias("start"), (candidate["start"] + x["end"]).alias("end"),
+                x["match"].alias("match"),
+            ),
+        )
+
+    mixed = candidate["match"].rlike("[+/]") & candidate["match"].rlike("[_-]")
+    return F.when(mixed, F.array_distinct(F.concat(*[parts(pattern) for pattern in READINGS]))).otherwise(F.array(candidate))
+
+
+def _apart(found: Column) -> Column:
+    """Finds without those inside a longer one, from the other reading of the same run."""
+    return F.filter(
+        found,
+        lambda x: ~F.exists(
+            found, lambda y: (y["start"] <= x["start"]) & (x["end"] <= y["end"]) & (y["n"] > x["n"])
+        ),
+    )
+
+
 def _upper_tail(z: Column) -> Column:
     """Chance that a normal value exceeds z; the logistic form is right to 0.0002."""
     return 1 / (1 + F.exp(F.least(F.lit(700.0), 0.07056 * z * z * z + 1.5976 * z)))
@@ -228,9 +258,8 @@ def find_secrets(docs: DataFrame, fdr: float = 0.001, alpha: float = 0.001) -> D
             of(2, _spans(text, HEX)),
         )
     )
-    candidates = _spans(
-        text, CANDIDATE, lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]")
-    )
+    runs = F.flatten(F.transform(_spans(text, CANDIDATE), _readings))
+    candidates = F.filter(runs, lambda x: x["match"].rlike("[A-Za-z]"))
     empty = F.array().cast("array<struct<start:int,end:int,encoding:string,p:struct<p_random:double,p_text:double>,n:double>>")
     found = docs.select("doc_id", text_of().alias("text")).select(
         "doc_id",
@@ -241,7 +270,7 @@ def find_secrets(docs: DataFrame, fdr: float = 0.001, alpha: float = 0.001) -> D
                 F.when(F.size(f["candidates"]) == 0, empty)
                 .otherwise(
                     F.filter(
-                        bound(F.transform(f["candidates"], _tested), lambda t: _discovered(t, fdr, alpha)),
+                        bound(bound(F.transform(f["candidates"], _tested), lambda t: _discovered(t, fdr, alpha)), _apart),
                         lambda x: ~F.exists(f["base"], lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"])),
                     )
                 )

@@ -656,6 +656,21 @@ def test_random_strings_are_added_and_names_are_not(spark):
     assert not any(rows[len(keys) + i].random for i in range(len(names)))
 
 
+def test_keys_in_mixed_runs_are_tested(spark):
+    rng = random.Random(8)
+    plain = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    url = ["".join(rng.choice(plain + "0123456789-_") for _ in range(38)) + "-_" for _ in range(10)]
+    slash = ["".join(rng.choice(plain + "0123456789+/") for _ in range(38)) + "+/" for _ in range(10)]
+    letters = ["".join(rng.choice(plain) for _ in range(40)) for _ in range(10)]
+    names = ["/some/long-path/to_the/release-candidate/of-the-project", "anotherVeryLongCamelCaseNameWithoutDigits"]
+    texts = [*[f"go /hooks/{k} now" for k in url], *[f"see app-{k} now" for k in slash], *[f"the {k} key" for k in letters], *names]
+    rows = {r.doc_id: r for r in secrets.find_secrets(frame(spark, texts)).collect()}
+    found = [[texts[i][x.start : x.end] for x in rows[i].random] for i in range(len(texts))]
+    hits = [k in f for f, k in zip(found, [*url, *slash, *letters], strict=False)]
+    assert sum(hits[:10]) >= 9 and sum(hits[10:20]) >= 9 and sum(hits[20:]) >= 1, hits
+    assert found[30:] == [[], []]
+
+
 # --- style --------------------------------------------------------------------
 
 
