@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landfall.llm.best_fit import pack_best_fit
 from landfall.llm.chat import format_windows, read_loss, read_turns
 from landfall.llm.common import documents, stored
 from landfall.llm.fingerprint import likeness, successive, text_form
@@ -140,3 +141,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document at a similarity of 0.8 or more."""
     return joined(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+@query()
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed whole; the digest of a piece is that of its ids."""
+    return pack_best_fit(documents(spark, sf_dir)).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
+        "sequence_id", "offset",
+    )
