@@ -16,6 +16,7 @@ from landfall.llm.packing import pack
 from landfall.llm.pii import replace_pii
 from landfall.llm.quality import BASE_RULES, MORE_RULES, cascade, measured, rule_order
 from landfall.llm.registry import query
+from landfall.llm.repair import repair, repair_digests
 from landfall.llm.secrets import find_secrets, span_text
 from landfall.llm.token_scan import separator_scan, token_streams
 from landfall.llm.toxicity import held_out, score, train
@@ -150,3 +151,19 @@ def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
         "sequence_id", "offset",
     )
+
+
+@query()
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by a digest of their rows' numbers, and repaired again."""
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    damage = F.crc32(F.encode(name, "UTF-8")) % 20
+    text = F.coalesce("text", F.lit(" "))
+    damaged = given.select(
+        "conv_id", "turn", (damage == 0).alias("gone"),
+        F.when(damage == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(damage == 1, "").when(damage == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.when(damage == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+    return repair_digests(repair(damaged, gone="gone"))
