@@ -20,6 +20,7 @@ from landfall.llm.repair import repair, repair_digests
 from landfall.llm.secrets import find_secrets, span_text
 from landfall.llm.token_scan import separator_scan, token_streams
 from landfall.llm.toxicity import held_out, score, train
+from landfall.llm.whitening import whiten
 
 
 @query()
@@ -167,3 +168,11 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(F.when(damage == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
     )
     return repair_digests(repair(damaged, gone="gone"))
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable embedding, whitened by the first sixteen components."""
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
+    )
