@@ -32,12 +32,14 @@ from landfall.operators.shaping import (
     union_extracts,
     with_duration,
 )
+from landfall.operators.temporal import asof_join, interval_join, present_per_day
 
 __all__ = [
     "Check",
     "QualityError",
     "StepCounter",
     "align_to",
+    "asof_join",
     "at_least_two",
     "average_by",
     "cast_columns",
@@ -55,11 +57,13 @@ __all__ = [
     "drop_missing",
     "duplicate_keys",
     "enforce",
+    "interval_join",
     "key_coverage",
     "left_lookup",
     "no_nulls",
     "not_empty",
     "null_profile",
+    "present_per_day",
     "profile",
     "rename",
     "rules",

@@ -28,6 +28,13 @@ from landfall.plans.edges import (
     snowflake,
     temperature_by,
 )
+from landfall.plans.stays import (
+    arrival_cities,
+    stays_in_periods,
+    visitors_present,
+    weather_before_arrival,
+    with_departure,
+)
 
 __all__ = [
     "LakeSources",
@@ -36,6 +43,7 @@ __all__ = [
     "airport_demographics",
     "airport_temperature",
     "arrival_checks",
+    "arrival_cities",
     "arrivals_by_month",
     "build_lake",
     "city_places",
@@ -49,8 +57,12 @@ __all__ = [
     "demographics_temperature",
     "enrich_airport",
     "snowflake",
+    "stays_in_periods",
     "temperature_by",
     "temperature_checks",
     "top_ports",
+    "visitors_present",
     "weather_at_peaks",
+    "weather_before_arrival",
+    "with_departure",
 ]

@@ -1,7 +1,7 @@
 """Registered queries: every operator applied to the given star-schema tables, each with
 the SQL that states the same result."""
 
-from landfall.workloads import flows, joins, quality, questions, shaping, storage
+from landfall.workloads import flows, joins, quality, questions, shaping, storage, temporal
 from landfall.workloads.registry import oracle_sql, queries
 
 __all__ = [
@@ -13,4 +13,5 @@ __all__ = [
     "questions",
     "shaping",
     "storage",
+    "temporal",
 ]
