@@ -55,6 +55,10 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--keep-arrival-date", action="store_true")
     parser.add_argument("--tables", nargs="+", choices=list(LAKE_SCHEMAS))
     parser.add_argument("--mode", choices=("full", "partitions"), default="full")
+    parser.add_argument(
+        "--versioned", action="store_true",
+        help="publish each table as a new version in one step, and keep the old ones",
+    )
     parser.add_argument("--strict", action="store_true", help="stop at the first failed check")
     return parser.parse_args(arguments)
 
@@ -87,8 +91,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
     options = parse(arguments)
     spark = SparkSession.builder.appName("landfall").getOrCreate()
     report = build_lake(
-        spark, sources(options), options.base, options.tables, options.mode, options.strict
-    )
+        spark, sources(options), options.base, options.tables, options.mode, options.strict,
+        options.versioned,
+    )
     report.show(report.count(), truncate=False)
 
 

@@ -1,7 +1,17 @@
 """General table operators: DataFrame in, lazy DataFrame out."""
 
 from landfall.operators.aggregates import average_by, count_by, stay_stats, top_k
-from landfall.operators.distinct import distinct_rows
+from landfall.operators.changes import (
+    as_of,
+    bag_difference,
+    bag_intersection,
+    changed_keys,
+    merge_history,
+    row_changes,
+    start_history,
+    upserted,
+)
+from landfall.operators.distinct import distinct_rows, one_per_key
 from landfall.operators.lookups import decode, key_coverage, left_lookup, unmatched_keys
 from landfall.operators.profiling import StepCounter, null_profile, profile, step_counts
 from landfall.operators.quality import (
@@ -39,10 +49,14 @@ __all__ = [
     "QualityError",
     "StepCounter",
     "align_to",
+    "as_of",
     "asof_join",
     "at_least_two",
     "average_by",
+    "bag_difference",
+    "bag_intersection",
     "cast_columns",
+    "changed_keys",
     "check_columns",
     "check_min_distinct",
     "check_not_empty",
@@ -60,19 +74,24 @@ __all__ = [
     "interval_join",
     "key_coverage",
     "left_lookup",
+    "merge_history",
     "no_nulls",
     "not_empty",
     "null_profile",
+    "one_per_key",
     "present_per_day",
     "profile",
     "rename",
+    "row_changes",
     "rules",
     "run_checks",
     "since",
+    "start_history",
     "stay_stats",
     "step_counts",
     "top_k",
     "union_extracts",
     "unmatched_keys",
+    "upserted",
     "with_duration",
 ]

@@ -25,6 +25,7 @@ from landfall.plans.edges import (
     city_places,
     demographics_temperature,
     enrich_airport,
+    one_airport_per_code,
     snowflake,
     temperature_by,
 )
@@ -56,6 +57,7 @@ __all__ = [
     "demographics_checks",
     "demographics_temperature",
     "enrich_airport",
+    "one_airport_per_code",
     "snowflake",
     "stays_in_periods",
     "temperature_by",

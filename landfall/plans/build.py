@@ -33,6 +33,7 @@ from landfall.schemas import (
     LAKE_PARTITIONS,
     TEMPERATURE_CSV,
 )
+from landfall.sinks.snapshots import publish_table
 from landfall.sinks.tables import write_table
 from landfall.sources.lake import open_lake, table_path
 from landfall.sources.readers import read_code_map, read_csv, read_extracts
@@ -129,6 +130,7 @@ def build_lake(
     tables: Sequence[str] | None = None,
     mode: str = "full",
     strict: bool = False,
+    versioned: bool = False,
 ) -> DataFrame:
     """Write the lake below `base` and return one report row per table and check.
 
@@ -138,7 +140,9 @@ def build_lake(
     `tables` limits the run, for sources that are refreshed at different times; an empty
     list writes nothing. `mode="partitions"` replaces only the partitions that occur in the
     new data. The fact table then has to be partitioned by year as well: with months alone,
-    a month of one year would replace that month of all years.
+    a month of one year would replace that month of all years. With `versioned` each table is
+    published as a new version in one step, so a failed write leaves the old one (see
+    `landfall.sinks.snapshots`); a table is versioned from its first write on or never.
     """
     wanted = list(_FLOWS) if tables is None else list(tables)
     if mode == "partitions" and "immigration" in wanted and "year" not in sources.arrival_partitions:
@@ -155,7 +159,10 @@ def build_lake(
         partition_by = LAKE_PARTITIONS.get(table, ())
         if table == "immigration":
             partition_by = tuple(sources.arrival_partitions)
-        written = write_table(df, path, partition_by, mode, checks=checks)
+        if versioned:
+            written, _ = publish_table(df, path, partition_by, mode, checks=checks)
+        else:
+            written = write_table(df, path, partition_by, mode, checks=checks)
         report += [
             (table, name, target, violations, written.rows, violations == 0)
             for name, target, violations in written.checks

@@ -143,6 +143,12 @@ PANDAS_NA_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# Types of airports (public airport data), the likeliest port of arrival first.
+AIRPORT_TYPES = (
+    "large_airport", "medium_airport", "small_airport", "seaplane_base", "heliport",
+    "balloonport", "closed",
+)
+
 # Port descriptions that name no place.
 PLACEHOLDER_PATTERN = r"^No PORT Code|^Collapsed|UNKNOWN|^UNIDENTIF|^INVALID"
 

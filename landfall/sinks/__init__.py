@@ -1,5 +1,28 @@
-"""Writers for partitioned Parquet tables."""
+"""Writers for partitioned Parquet tables, plain or with versions."""
 
+from landfall.sinks.merge import MergeReport, merge_table
+from landfall.sinks.snapshots import (
+    ConcurrentWrite,
+    Snapshot,
+    current_snapshot,
+    drop_snapshots,
+    publish_table,
+    read_snapshot,
+    snapshot_versions,
+)
 from landfall.sinks.tables import WriteReport, write_csv, write_table
 
-__all__ = ["WriteReport", "write_csv", "write_table"]
+__all__ = [
+    "ConcurrentWrite",
+    "MergeReport",
+    "Snapshot",
+    "WriteReport",
+    "current_snapshot",
+    "drop_snapshots",
+    "merge_table",
+    "publish_table",
+    "read_snapshot",
+    "snapshot_versions",
+    "write_csv",
+    "write_table",
+]

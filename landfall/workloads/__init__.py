@@ -1,7 +1,16 @@
 """Registered queries: every operator applied to the given star-schema tables, each with
 the SQL that states the same result."""
 
-from landfall.workloads import flows, joins, quality, questions, shaping, storage, temporal
+from landfall.workloads import (
+    flows,
+    joins,
+    quality,
+    questions,
+    shaping,
+    storage,
+    temporal,
+    versions,
+)
 from landfall.workloads.registry import oracle_sql, queries
 
 __all__ = [
@@ -14,4 +23,5 @@ __all__ = [
     "shaping",
     "storage",
     "temporal",
+    "versions",
 ]
