@@ -42,11 +42,20 @@ from landfall.operators.shaping import (
     union_extracts,
     with_duration,
 )
+from landfall.operators.sketches import (
+    SketchSpec,
+    merge_sketches,
+    overlap_estimate,
+    sketch_by,
+    sketch_estimates,
+)
+from landfall.operators.subtotals import cube_sets, rollup_sets, subtotals
 from landfall.operators.temporal import asof_join, interval_join, present_per_day
 
 __all__ = [
     "Check",
     "QualityError",
+    "SketchSpec",
     "StepCounter",
     "align_to",
     "as_of",
@@ -66,6 +75,7 @@ __all__ = [
     "check_schema",
     "check_unique",
     "count_by",
+    "cube_sets",
     "decode",
     "distinct_rows",
     "drop_missing",
@@ -75,20 +85,26 @@ __all__ = [
     "key_coverage",
     "left_lookup",
     "merge_history",
+    "merge_sketches",
     "no_nulls",
     "not_empty",
     "null_profile",
     "one_per_key",
+    "overlap_estimate",
     "present_per_day",
     "profile",
     "rename",
+    "rollup_sets",
     "row_changes",
     "rules",
     "run_checks",
     "since",
+    "sketch_by",
+    "sketch_estimates",
     "start_history",
     "stay_stats",
     "step_counts",
+    "subtotals",
     "top_k",
     "union_extracts",
     "unmatched_keys",

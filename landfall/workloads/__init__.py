@@ -8,6 +8,7 @@ from landfall.workloads import (
     questions,
     shaping,
     storage,
+    summaries,
     temporal,
     versions,
 )
@@ -22,6 +23,7 @@ __all__ = [
     "questions",
     "shaping",
     "storage",
+    "summaries",
     "temporal",
     "versions",
 ]
