@@ -8,6 +8,7 @@ from landfall.workloads import (
     questions,
     shaping,
     storage,
+    streams,
     summaries,
     temporal,
     versions,
@@ -23,6 +24,7 @@ __all__ = [
     "questions",
     "shaping",
     "storage",
+    "streams",
     "summaries",
     "temporal",
     "versions",
