@@ -8,14 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.operators import (
+    at_least_two,
     bag_difference,
     bag_intersection,
     merge_history,
+    no_nulls,
+    not_empty,
     row_changes,
+    rules,
     start_history,
 )
 from landfall.plans import edges
-from landfall.sinks import merge_table, publish_table, read_snapshot, snapshot_versions
+from landfall.sinks import (
+    bucketed_lookup,
+    hot_keys,
+    merge_table,
+    publish_checked,
+    publish_table,
+    read_snapshot,
+    snapshot_versions,
+    stored_checks,
+    write_bucketed,
+)
 from landfall.workloads import frames
 from landfall.workloads.joins import lake
 from landfall.workloads.registry import load, query, scratch
@@ -246,3 +260,50 @@ def snowflake_repeated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = tables["immigration"].agg(rows.alias("facts"))
     both = facts.unionByName(joined, allowMissingColumns=True)
     return both.agg(F.max("facts").alias("facts"), F.max("joined").alias("joined"))
+
+
+@query("""
+with orders_now as (
+  select * from orders
+  union all select * from orders where year(o_orderdate) = 1996 and month(o_orderdate) = 3),
+found as (
+  select 'not_empty' as check_name, '*' as target, (count(*) = 0)::bigint as violations, count(*) as n
+    from orders_now
+  union all select 'min_distinct', 'o_orderstatus', (count(distinct o_orderstatus) < 2)::bigint, count(*)
+    from orders_now
+  union all select 'not_null', 'o_orderpriority', count(*) filter (o_orderpriority is null), count(*)
+    from orders_now
+  union all select 'rule', 'cheap', count(*) filter (not o_totalprice < 100000), count(*) from orders_now
+  union all select 'unique', 'o_orderkey', (select count(*) from (
+      select o_orderkey from orders_now group by 1 having count(*) > 1)), count(*) from orders_now)
+select check_name, target, violations, n as rows_checked, violations = 0 as passed from found""")
+def checks_after_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of a whole table after one month was refreshed: only that month is counted again."""
+    path = scratch(spark, "orders_checked")
+    orders = _dated_orders(spark, sf_dir)
+    checks = [
+        not_empty(), at_least_two("o_orderstatus"), *no_nulls(orders, ["o_orderpriority"]),
+        *rules({"cheap": "o_totalprice < 100000"}),
+    ]
+    publish_checked(orders, path, ["year", "month"], checks=checks, unique=["o_orderkey"])
+    march = orders.where("year = 1996 and month = 3")
+    twice = march.unionByName(march)
+    publish_checked(twice, path, ["year", "month"], "partitions", checks=checks, unique=["o_orderkey"])
+    return stored_checks(spark, path)
+
+
+@query(f"""
+with {frames.ARRIVALS}, {frames.AIRPORTS}
+select arrival_id, arrivals.airport_code, airport_name, municipality
+from arrivals left join airports using (airport_code)""")
+def enrich_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals with their airport, both stored in buckets of the code: no shuffle to join."""
+    tables = lake(spark, sf_dir, "immigration", "airport_codes")
+    facts = tables["immigration"].select("arrival_id", "airport_code")
+    airports = tables["airport_codes"].select("airport_code", "airport_name", "municipality")
+    hot = hot_keys(facts, "airport_code", 32)
+    stored = [
+        write_bucketed(df, scratch(spark, name), name, "airport_code", 32, hot, is_fact)
+        for df, name, is_fact in ((facts, "bucketed_facts", True), (airports, "bucketed_airports", False))
+    ]
+    return bucketed_lookup(*stored, "airport_code")
