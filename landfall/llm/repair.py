@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
-from itertools import groupby
+from itertools import groupby, islice
 from operator import itemgetter
 
 import pyarrow as pa
@@ -185,7 +185,12 @@ def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         yield from batch.to_pylist()
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _batched(rows: Iterator[dict], schema: pa.Schema, size: int = 64) -> Iterator[pa.RecordBatch]:
+    while some := list(islice(rows, size)):
+        yield pa.RecordBatch.from_pylist(some, schema=schema)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Cut sorted turns into blocks of one conversation, each with its cell and counts."""
     number = TaskContext.get().partitionId() << 32
     for conv, turns in groupby(_rows_of(batches), key=itemgetter("conv_id")):
@@ -233,10 +238,10 @@ def _add(block: dict, turn: dict) -> None:
     block["rows"].append({name: turn[name] for name in ("role", "text", "copies")})
 
 
-def _closed(block: dict) -> pa.RecordBatch:
+def _closed(block: dict) -> dict:
     whole = parsed(block["cell"])[-1][0]
     cell = [way and {"cost": way[0], "audit": way[1]} for way in whole]
-    return pa.RecordBatch.from_pylist([{**block, "cell": cell}], schema=_BLOCK)
+    return {**block, "cell": cell}
 
 
 #: What is known of a whole conversation.
@@ -294,7 +299,7 @@ def _edited(rows: list[dict], state: int, audit: str) -> list[dict]:
     return found
 
 
-def _repaired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _repaired(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """For each conversation first all cells, then the turns, block by block."""
     for conv, parts in groupby(_rows_of(batches), key=itemgetter("conv_id")):
         cells: list[dict] = []
@@ -312,8 +317,7 @@ def _repaired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 report = _report(cells, cost, audit)
             turns = _edited(part["rows"], *ways[at])
             at += 1
-            out = {"conv_id": conv, "turns": turns, "report": report if at == len(ways) else None}
-            yield pa.RecordBatch.from_pylist([out], schema=_OUT)
+            yield {"conv_id": conv, "turns": turns, "report": report if at == len(ways) else None}
 
 
 _BLANK, _CUT_OFF = r"[^\x20\x09-\x0D]", r"[.!?][\x20\x09-\x0D]*\z"
@@ -356,15 +360,16 @@ def repair(turns: DataFrame, gone: str | None = None) -> DataFrame:
     )
     order = ["conv_id", "turn", "role", "text"]
     in_order = marked.repartitionByRange(*order).sortWithinPartitions(*order)
-    blocks = stored(in_order.mapInArrow(_blocks, _BLOCK_DDL), "repair_blocks", "zstd")
+    cut = in_order.mapInArrow(lambda rows: _batched(_blocks(rows), _BLOCK), _BLOCK_DDL)
+    blocks = stored(cut, "repair_blocks", "zstd")
     cells = blocks.select(F.lit(False).alias("is_text"), *[c for c in blocks.columns if c != "rows"])
     texts = blocks.select(F.lit(True).alias("is_text"), "conv_id", "block", "rows")
     both = cells.unionByName(texts, allowMissingColumns=True)
     per_conversation = both.repartition("conv_id").sortWithinPartitions("conv_id", "is_text", "block")
-    return per_conversation.mapInArrow(_repaired, _OUT_DDL)
+    return per_conversation.mapInArrow(lambda rows: _batched(_repaired(rows), _OUT), _OUT_DDL)
 
 
-def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     state, begun = hashlib.sha256(), False
     for row in _rows_of(batches):
         for turn in row["turns"]:
@@ -372,8 +377,7 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             state.update((("\n" if begun else "") + line).encode())
             begun = True
         if row["report"] is not None:
-            digest = {"conv_id": row["conv_id"], **row["report"], "repaired_sha256": state.hexdigest()}
-            yield pa.RecordBatch.from_pylist([digest], schema=_DIGEST)
+            yield {"conv_id": row["conv_id"], **row["report"], "repaired_sha256": state.hexdigest()}
             state, begun = hashlib.sha256(), False
 
 
@@ -383,4 +387,5 @@ _DIGEST = pa.schema([_OUT.field("conv_id"), *_OUT.field("report").type, ("repair
 def repair_digests(repaired: DataFrame) -> DataFrame:
     """For each conversation of `repair`, its report and the digest of its edited turns, as
     lines `role:text`. It reads the turns as they come, in the same tasks."""
-    return repaired.mapInArrow(_digested, f"conv_id long, {REPORT}, repaired_sha256 string")
+    ddl = f"conv_id long, {REPORT}, repaired_sha256 string"
+    return repaired.mapInArrow(lambda rows: _batched(_digested(rows), _DIGEST, 4096), ddl)
