@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,6 +139,8 @@ def build_lake(
     Checks are counted while a table is written and only reported, so each raw table is
     read once. With `strict` they run before the write instead, and a failure raises
     while the old table still stands; that costs a second read.
+    The tables do not depend on each other and are written side by side, so that small ones
+    fill the gaps of large ones; a failure is raised once all have ended.
     `tables` limits the run, for sources that are refreshed at different times; an empty
     list writes nothing. `mode="partitions"` replaces only the partitions that occur in the
     new data. The fact table then has to be partitioned by year as well: with months alone,
@@ -147,8 +151,8 @@ def build_lake(
     wanted = list(_FLOWS) if tables is None else list(tables)
     if mode == "partitions" and "immigration" in wanted and "year" not in sources.arrival_partitions:
         raise ValueError("mode='partitions' needs 'year' among arrival_partitions")
-    report = []
-    for table in wanted:
+
+    def write(table: str) -> list[tuple]:
         df, checks = _FLOWS[table](spark, sources)
         if strict:
             try:
@@ -163,12 +167,16 @@ def build_lake(
             written, _ = publish_table(df, path, partition_by, mode, checks=checks)
         else:
             written = write_table(df, path, partition_by, mode, checks=checks)
-        report += [
+        found = [
             (table, name, target, violations, written.rows, violations == 0)
             for name, target, violations in written.checks
         ]
         refreshed = df.select(*partition_by) if mode == "partitions" and partition_by else None
-        report += _stored_checks(spark, base, table, written.rows, refreshed)
+        return found + _stored_checks(spark, base, table, written.rows, refreshed)
+
+    with ThreadPoolExecutor(max_workers=max(1, len(wanted))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(write), table) for table in wanted]
+        report = [row for flow in running for row in flow.result()]
     return spark.createDataFrame(report, _REPORT)
 
 
