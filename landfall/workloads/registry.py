@@ -42,14 +42,25 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _shared_base(spark: SparkSession) -> str:
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    one_machine = spark.sparkContext.master.split("[")[0] == "local"
+    if not one_machine and warehouse.startswith(("file:", "/")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A folder for tables a query writes and reads back.
 
     It lies in the shared folder the cluster names in `spark.checkpoint.dir`, or in the
-    session's warehouse where that is unset. A session has one folder per label: running a
+    session's warehouse where that is unset; a warehouse on a machine's own disk will not do
+    on a cluster. A session has one folder per label: running a
     query again first frees what its last run wrote, and the end of the JVM frees the rest.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = _shared_base(spark)
     folder = f"{base.rstrip('/')}/landfall/{spark.sparkContext.applicationId}/{label}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
