@@ -35,7 +35,7 @@ from landfall.schemas import (
     LAKE_PARTITIONS,
     TEMPERATURE_CSV,
 )
-from landfall.sinks.snapshots import publish_table
+from landfall.sinks.snapshots import publish_table, read_snapshot
 from landfall.sinks.tables import write_table
 from landfall.sources.lake import open_lake, table_path
 from landfall.sources.readers import read_code_map, read_csv, read_extracts
@@ -163,16 +163,20 @@ def build_lake(
         partition_by = LAKE_PARTITIONS.get(table, ())
         if table == "immigration":
             partition_by = tuple(sources.arrival_partitions)
+        added = None
         if versioned:
-            written, _ = publish_table(df, path, partition_by, mode, checks=checks)
+            written, snapshot = publish_table(df, path, partition_by, mode, checks=checks)
+            added = read_snapshot(spark, path, snapshot.version, only_written=True)
         else:
             written = write_table(df, path, partition_by, mode, checks=checks)
         found = [
             (table, name, target, violations, written.rows, violations == 0)
             for name, target, violations in written.checks
         ]
-        refreshed = df.select(*partition_by) if mode == "partitions" and partition_by else None
-        return found + _stored_checks(spark, base, table, written.rows, refreshed)
+        refreshed = None
+        if mode == "partitions" and partition_by and not versioned:
+            refreshed = df.select(*partition_by)
+        return found + _stored_checks(spark, base, table, written.rows, refreshed, added)
 
     with ThreadPoolExecutor(max_workers=max(1, len(wanted))) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(write), table) for table in wanted]
@@ -186,15 +190,16 @@ def _stored_checks(
     table: str,
     rows_written: int,
     refreshed: DataFrame | None = None,
+    added: DataFrame | None = None,
 ) -> list[tuple]:
     """What only the finished table can tell: its row count, which Parquet answers from
     its footers, and whether the keys of a dimension are unique.
 
     After a refresh only the partitions in `refreshed` are counted, which reads the
-    partition columns of the new data once more.
+    partition columns of the new data once more. A versioned table knows what it has `added`.
     """
     stored = open_lake(spark, base, [table], register=False)[table]
-    written = stored
+    written = stored if added is None else added
     if refreshed is not None:
         keys = refreshed.distinct().withColumnsRenamed({c: f"new_{c}" for c in refreshed.columns})
         same = [F.col(c).eqNullSafe(F.col(f"new_{c}")) for c in refreshed.columns]
