@@ -53,11 +53,18 @@ def _triples(paragraph: Column) -> Column:
 
 def vectors(texts: DataFrame, key: str, text: str) -> DataFrame:
     """One row per key: eight hash sums, thirty sign sums and the number of triples."""
-    paragraphs = texts.select(key, F.explode(F.split(F.col(text), "\n")).alias("fp_paragraph"))
-    hashed = paragraphs.select(
+    # A paragraph is hashed here, once. Hashes named beside the second explode would be
+    # computed again for each of its triples, which is quadratic in a long line.
+    paragraphs = F.transform(
+        F.split(F.col(text), "\n"),
+        lambda p: F.struct(
+            *[F.xxhash64(F.lit(k), p).alias(f"h{i}") for i, k in enumerate(KEYS)], _triples(p).alias("triples")
+        ),
+    )
+    hashed = texts.select(key, F.explode(paragraphs).alias("fp_paragraph")).select(
         key,
-        *[F.xxhash64(F.lit(k), "fp_paragraph").alias(f"fp_h{i}") for i, k in enumerate(KEYS)],
-        F.posexplode_outer(_triples(F.col("fp_paragraph"))).alias("fp_at", "fp_triple"),
+        *[F.col(f"fp_paragraph.h{i}").alias(f"fp_h{i}") for i in range(len(KEYS))],
+        F.posexplode_outer("fp_paragraph.triples").alias("fp_at", "fp_triple"),
     )
     first = F.coalesce(F.col("fp_at"), F.lit(0)) == 0
     lanes = []
