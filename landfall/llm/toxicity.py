@@ -59,6 +59,10 @@ class Settings:
     seed: int = 7
 
 
+#: Characters of words whose n-grams are taken at a time when texts are scored.
+LONGEST = 1 << 18
+
+
 def subwords(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket numbers of all words' n-grams, one after the other, and how many each word has."""
     marked = [f"<{w}>" for w in words]
@@ -84,11 +88,37 @@ def subwords(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     whose.append(np.arange(len(words)))
     hashes, owners = np.concatenate(found), np.concatenate(whose)
     order = np.argsort(owners, kind="stable")
-    mixed = hashes[order]
-    mixed ^= mixed >> np.uint64(29)
+    return _bucket(hashes[order], buckets), np.bincount(owners, minlength=len(words))
+
+
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = hashes ^ (hashes >> np.uint64(29))
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
     mixed ^= mixed >> np.uint64(32)
-    return (mixed % np.uint64(buckets)).astype(np.int32), np.bincount(owners, minlength=len(words))
+    return (mixed % np.uint64(buckets)).astype(np.int32)
+
+
+def long_word_mean(word: str, values: np.ndarray, block: int = 1 << 16) -> float:
+    """The mean value of a word's n-grams, taken in blocks: `subwords` takes some 240 bytes a
+    character, this four."""
+    codes = np.frombuffer(f"<{word}>".encode("utf-32-le", "surrogatepass"), np.uint32)
+    total, count, whole = 0.0, 1, 0
+    powers = np.cumprod(np.full(block, 1_000_033, np.uint64))
+    for at in range(0, len(codes), block):
+        part = codes[at : at + block + 4].astype(np.uint64)
+        size = min(block, len(codes) - at)
+        rolling = np.zeros(size, np.uint64)
+        for n in range(1, 6):
+            kept = max(0, min(size, len(codes) - at - n + 1))
+            rolling[:kept] = rolling[:kept] * np.uint64(1_000_003) + part[n - 1 : n - 1 + kept] + np.uint64(1)
+            if n >= 3:
+                grams = rolling[:kept] * np.uint64(31) + np.uint64(n)
+                total += float(values[_bucket(grams, len(values))].sum(dtype=np.float64))
+                count += kept
+        sums = int((part[:size] * powers[:size]).sum(dtype=np.uint64))
+        whole = (whole + sums * pow(1_000_033, at, 1 << 64)) % (1 << 64)
+    last = _bucket(np.array([whole], np.uint64), len(values))
+    return (total + float(values[last[0]])) / count
 
 
 def tokens(text: str) -> list[str]:
@@ -235,6 +265,20 @@ class Model:
         known: dict[str, float] = {}
 
         def learn(words: list[str]) -> None:
+            some, size = [], 0
+            for word in words:
+                if len(word) > LONGEST:
+                    known[word] = long_word_mean(word.strip(MARKS), self.per_bucket)
+                    continue
+                if size + len(word) > LONGEST:
+                    learn_some(some)
+                    some, size = [], 0
+                some.append(word)
+                size += len(word)
+            if some:
+                learn_some(some)
+
+        def learn_some(words: list[str]) -> None:
             subs, counts = subwords([w.strip(MARKS) for w in words], s.buckets)
             starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
             values = np.add.reduceat(self.per_bucket[subs], starts) / counts
