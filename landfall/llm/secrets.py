@@ -69,14 +69,26 @@ def _text_share(character: str) -> float:
         return 0.12 * LETTER_PERCENT[LOWER.index(character.lower())] / 100
     return 0.07 / 10 if character.isdigit() else 0.03 / 4
 
+#: Matches whose places are listed at a time.
+CHUNK = 256
+
 
 def _spans(text: Column, pattern: str, keep=None) -> Column:
     """Places (start, end) and strings of all matches that `keep` accepts."""
     kept = keep or (lambda match: F.lit(True))
 
     def placed(parts: Column, matches: Column) -> Column:
-        none = F.array().cast("array<struct<start:int,end:int,match:string>>")
+        """Places within chunks of matches, and then those of the chunks: a list that grew by
+        one match after the other would be copied as often."""
         ends = F.zip_with(parts, matches, lambda p, m: F.struct(F.char_length(p).alias("p"), m.alias("m")))
+        starts = F.sequence(F.lit(1), F.size(parts), F.lit(CHUNK))
+        return bound(
+            bound(ends, lambda e: F.transform(starts, lambda i: chunk(F.slice(e, i, CHUNK)))),
+            lambda chunks: F.flatten(F.zip_with(chunks, lengths_before(chunks), moved)),
+        )
+
+    def chunk(ends: Column) -> Column:
+        none = F.array().cast("array<struct<start:int,end:int,match:string>>")
         return F.aggregate(
             ends,
             F.struct(F.lit(0).alias("at"), none.alias("found")),
@@ -96,7 +108,24 @@ def _spans(text: Column, pattern: str, keep=None) -> Column:
                     ).otherwise(a["found"]).alias("found"),
                 ),
             ),
-            lambda a: a["found"],
+        )
+
+    def lengths_before(chunks: Column) -> Column:
+        return F.aggregate(
+            chunks,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("before")),
+            lambda a, x: F.struct(
+                (a["at"] + x["at"]).alias("at"), F.concat(a["before"], F.array(a["at"])).alias("before")
+            ),
+            lambda a: a["before"],
+        )
+
+    def moved(one: Column, before: Column) -> Column:
+        return F.transform(
+            one["found"],
+            lambda f: F.struct(
+                (f["start"] + before).alias("start"), (f["end"] + before).alias("end"), f["match"].alias("match")
+            ),
         )
 
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
