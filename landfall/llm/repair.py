@@ -16,8 +16,9 @@ the same number of insertions, so neither starts with the other, and what follow
 change their order.
 
 Turns are sorted over all tasks, which cut them into blocks and compute each block's cell, so
-a conversation of any length is parsed in parallel. One pass per conversation then combines
-the cells of its blocks and writes out the edited turns block by block.
+a conversation of any length is parsed in parallel. A conversation that is one block, with
+others before and after it in its task, is whole and edited there. For the rest one pass per
+conversation combines the cells of its blocks and writes out the edited turns block by block.
 
 Defined results: a NULL role or text is one space, which is neither a legal role nor a text.
 Turns are taken by number, NULL first, then by role and text; repeated rows lie side by side
@@ -123,6 +124,16 @@ def _turn_cell(kind: str) -> Cell:
 _TURN_CELLS = {kind: _turn_cell(kind) for kind in "suaxSUAXD"}
 
 
+def _deletions(number: int) -> Cell:
+    """The cell of so many turns that must go, by doubling."""
+    cell = _TURN_CELLS["D"]
+    if number == 1:
+        return cell
+    half = _deletions(number // 2)
+    both = combined(half, half)
+    return combined(both, cell) if number % 2 else both
+
+
 def parsed(cells: Sequence[Cell]) -> list[list[Cell]]:
     """Cells of all spans that are used, by length: the given ones first, the whole last."""
     levels = [list(cells) or [_NOTHING]]
@@ -157,11 +168,36 @@ def _ways(levels: list[list[Cell]]) -> tuple[int, str, list[tuple[int, str]]]:
     ]
 
 
+#: What is known of a whole conversation.
+REPORT = (
+    "gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string"
+)
+_RESULT_DDL = (
+    "turns array<struct<role: string, text: string, edit: string>>,"
+    f" report struct<{REPORT.replace(' long', ': bigint').replace(' string', ': string')}>"
+)
+_OUT_DDL = f"conv_id long, {_RESULT_DDL}"
+_OUT = pa.schema(
+    [
+        ("conv_id", pa.int64()),
+        ("turns", pa.list_(pa.struct([(n, pa.string()) for n in ("role", "text", "edit")]))),
+        (
+            "report",
+            pa.struct(
+                [
+                    (name, pa.string() if kind == "string" else pa.int64())
+                    for name, kind in (field.split() for field in REPORT.split(", "))
+                ]
+            ),
+        ),
+    ]
+)
+
 _ROW = "struct<role: string, text: string, copies: bigint>"
 _BLOCK_DDL = (
     "conv_id long, block long, cell array<struct<cost: bigint, audit: string>>, blank long,"
     " duplicate long, truncated long, illegal long, first string, last string, first_turn long,"
-    f" last_turn long, turns long, rows array<{_ROW}>"
+    f" last_turn long, distinct_turns long, rows array<{_ROW}>, {_RESULT_DDL}"
 )
 _CELL_TYPE = pa.list_(pa.struct([("cost", pa.int64()), ("audit", pa.string())]))
 _ROWS_TYPE = pa.list_(
@@ -171,8 +207,8 @@ _BLOCK = pa.schema(
     [("conv_id", pa.int64()), ("block", pa.int64()), ("cell", _CELL_TYPE)]
     + [(name, pa.int64()) for name in ("blank", "duplicate", "truncated", "illegal")]
     + [("first", pa.string()), ("last", pa.string())]
-    + [(name, pa.int64()) for name in ("first_turn", "last_turn", "turns")]
-    + [("rows", _ROWS_TYPE)]
+    + [(name, pa.int64()) for name in ("first_turn", "last_turn", "distinct_turns")]
+    + [("rows", _ROWS_TYPE), _OUT.field("turns"), _OUT.field("report")]
 )
 
 
@@ -191,24 +227,41 @@ def _batched(rows: Iterator[dict], schema: pa.Schema, size: int = 64) -> Iterato
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Cut sorted turns into blocks of one conversation, each with its cell and counts."""
+    """Cut sorted turns into blocks of one conversation, each with its cell and counts. Blocks
+    that are whole conversations are edited at once: they have a report, and no cell."""
     number = TaskContext.get().partitionId() << 32
+    alone, first = None, True
     for conv, turns in groupby(_rows_of(batches), key=itemgetter("conv_id")):
-        block, size = _new_block(conv, number), 0
+        if alone is not None:  # and the task goes on with another conversation
+            yield _edited_whole(alone)
+            alone = None
+        block, size, cut = _new_block(conv, number), 0, False
         for turn in turns:
             if block["rows"] and (len(block["cell"]) >= _BLOCK_TURNS or size >= _BLOCK_CHARS):
                 yield _closed(block)
                 number += 1
-                block, size = _new_block(conv, number), 0
+                block, size, cut = _new_block(conv, number), 0, True
             if not turn["gone"]:
                 _add(block, turn)
                 size += len(turn["text"])
-        yield _closed(block)
-        number += 1
+        if first or cut:
+            yield _closed(block)
+        else:
+            alone = block
+        number, first = number + 1, False
+    if alone is not None:
+        yield _closed(alone)
+
+
+def _edited_whole(block: dict) -> dict:
+    """The result of a conversation that is one block."""
+    cost, audit, _ = _ways(parsed([parsed(block["cell"])[-1][0]]))
+    turns = _edited(block["rows"], _START, audit)
+    return {"conv_id": block["conv_id"], "turns": turns, "report": _report([block], cost, audit)}
 
 
 def _new_block(conv: int | None, number: int) -> dict:
-    counts = dict.fromkeys(("blank", "duplicate", "truncated", "illegal", "turns"), 0)
+    counts = dict.fromkeys(("blank", "duplicate", "truncated", "illegal", "distinct_turns"), 0)
     bounds = dict.fromkeys(("first", "last", "first_turn", "last_turn"))
     return {"conv_id": conv, "block": number, "cell": [], "rows": [], **counts, **bounds}
 
@@ -223,7 +276,9 @@ def _add(block: dict, turn: dict) -> None:
         block["truncated"] += turn["truncated"] and not turn["again"]
     kind = initial if initial in ("s", "u", "a") else "x"
     kind = "D" if turn["blank"] or turn["again"] else kind.upper() if turn["truncated"] else kind
-    block["cell"] += [_TURN_CELLS[kind], *[_TURN_CELLS["D"]] * (copies - 1)]
+    block["cell"].append(_TURN_CELLS[kind])
+    if copies > 1:
+        block["cell"].append(_deletions(copies - 1))
     if block["last"] is None:
         block["first"] = initial
     else:
@@ -231,7 +286,7 @@ def _add(block: dict, turn: dict) -> None:
     block["illegal"] += (copies - 1) * (not _legal_pair(initial, initial))
     block["last"] = initial
     if turn["turn"] is not None:
-        block["turns"] += turn["turn"] != block["last_turn"]
+        block["distinct_turns"] += turn["turn"] != block["last_turn"]
         block["last_turn"] = turn["turn"]
         if block["first_turn"] is None:
             block["first_turn"] = turn["turn"]
@@ -244,31 +299,6 @@ def _closed(block: dict) -> dict:
     return {**block, "cell": cell}
 
 
-#: What is known of a whole conversation.
-REPORT = (
-    "gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string"
-)
-_OUT_DDL = (
-    "conv_id long, turns array<struct<role: string, text: string, edit: string>>,"
-    f" report struct<{REPORT.replace(' long', ': bigint').replace(' string', ': string')}>"
-)
-_OUT = pa.schema(
-    [
-        ("conv_id", pa.int64()),
-        ("turns", pa.list_(pa.struct([(n, pa.string()) for n in ("role", "text", "edit")]))),
-        (
-            "report",
-            pa.struct(
-                [
-                    (name, pa.string() if kind == "string" else pa.int64())
-                    for name, kind in (field.split() for field in REPORT.split(", "))
-                ]
-            ),
-        ),
-    ]
-)
-
-
 def _report(blocks: list[dict], cost: int, audit: str) -> dict:
     """The counts of all blocks, and what only shows where two blocks meet."""
     counts = {n: sum(b[n] for b in blocks) for n in ("blank", "duplicate", "truncated", "illegal")}
@@ -278,7 +308,7 @@ def _report(blocks: list[dict], cost: int, audit: str) -> dict:
     numbered = [b for b in blocks if b["last_turn"] is not None]
     gaps: int | None = 0
     if numbered:
-        distinct = sum(b["turns"] for b in numbered)
+        distinct = sum(b["distinct_turns"] for b in numbered)
         distinct -= sum(a["last_turn"] == b["first_turn"] for a, b in zip(numbered, numbered[1:]))
         gaps = numbered[-1]["last_turn"] - numbered[0]["first_turn"] + 1 - distinct
         gaps = gaps if gaps < 1 << 63 else None
@@ -362,11 +392,14 @@ def repair(turns: DataFrame, gone: str | None = None) -> DataFrame:
     in_order = marked.repartitionByRange(*order).sortWithinPartitions(*order)
     cut = in_order.mapInArrow(lambda rows: _batched(_blocks(rows), _BLOCK), _BLOCK_DDL)
     blocks = stored(cut, "repair_blocks", "zstd")
-    cells = blocks.select(F.lit(False).alias("is_text"), *[c for c in blocks.columns if c != "rows"])
-    texts = blocks.select(F.lit(True).alias("is_text"), "conv_id", "block", "rows")
+    parts = blocks.where("report IS NULL").drop("turns", "report")
+    cells = parts.drop("rows").withColumn("is_text", F.lit(False))
+    texts = parts.select("conv_id", "block", "rows", F.lit(True).alias("is_text"))
     both = cells.unionByName(texts, allowMissingColumns=True)
     per_conversation = both.repartition("conv_id").sortWithinPartitions("conv_id", "is_text", "block")
-    return per_conversation.mapInArrow(lambda rows: _batched(_repaired(rows), _OUT), _OUT_DDL)
+    combined_parts = per_conversation.mapInArrow(lambda rows: _batched(_repaired(rows), _OUT), _OUT_DDL)
+    whole = blocks.where("report IS NOT NULL").select("conv_id", "turns", "report")
+    return whole.unionByName(combined_parts)
 
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:

@@ -101,6 +101,11 @@ def test_every_split_of_a_span_gives_one_cell():
         assert module.combined(left, right) == whole
 
 
+@pytest.mark.parametrize("number", [1, 2, 3, 7, 64])
+def test_many_deletions_are_one_cell(number):
+    assert module._deletions(number) == module.parsed([module._TURN_CELLS["D"]] * number)[-1][0]
+
+
 def expected(turns):
     """Report and digest of one conversation, given its (turn, role, text) rows."""
     rows = sorted(turns, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
